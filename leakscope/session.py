@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -45,10 +44,18 @@ def shared_dir(spark: SparkSession) -> str:
                   or spark.sparkContext.getConf().get(CHECKPOINT_DIR, None))
     app = spark.sparkContext.applicationId
     if configured:
-        return f"{configured.rstrip('/')}/leakscope-{app}"
-    if not spark.sparkContext.master.startswith("local"):
+        base = f"{configured.rstrip('/')}/leakscope-{app}"
+    elif spark.sparkContext.master.startswith("local"):
+        if app not in _local_scratch:
+            _local_scratch[app] = tempfile.mkdtemp(prefix="leakscope-")
+        base = _local_scratch[app]
+    else:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    if app not in _local_scratch:
-        _local_scratch[app] = tempfile.mkdtemp(prefix="leakscope-")
-        spark.sparkContext.setCheckpointDir(os.path.join(_local_scratch[app], "checkpoints"))
-    return _local_scratch[app]
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(f"{base}/checkpoints")
+    return base
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Make ``DataFrame.checkpoint()`` usable, on the shared folder."""
+    shared_dir(spark)

@@ -157,12 +157,12 @@ ENUMS: dict[str, tuple[str, ...]] = {
     "chat_role": ("system", "user", "assistant", "tool"),
     "leakage_scenario": (
         "delivered_no_payment", "shipped_then_cancelled", "incorrect_refund_on_delivery", "duplicate_refund",
-        "payment_approved_never_shipped", "logistics_exceeds_revenue", "cod_unpaid_after_delivery",
-        "high_discount_negative_profit", "no_invoice_on_completion", "partial_payment_only",
-        "refund_before_cancellation", "inventory_mismatch", "seller_paid_twice", "wrong_shipping_fee",
-        "review_contradicts_cancelled", "delayed_delivery_compensation", "shipping_failed_review_exists",
-        "repeated_small_refunds", "fake_delivery_success", "returned_product_kept", "negative_profit_margin",
-        "statistical_outlier", "no_leakage"),
+        "payment_approved_never_shipped", "logistics_exceeds_revenue", "returned_product_kept",
+        "cod_unpaid_after_delivery", "fake_delivery_success", "high_discount_negative_profit",
+        "no_invoice_on_completion", "partial_payment_only", "refund_before_cancellation", "inventory_mismatch",
+        "seller_paid_twice", "shipping_failed_review_exists", "review_contradicts_cancelled",
+        "wrong_shipping_fee", "repeated_small_refunds", "delayed_delivery_compensation", "no_leakage",
+        "statistical_outlier", "negative_profit_margin"),
     "embedding_type": ("schema", "business_rule", "sql_template", "review", "metric", "routing", "glossary",
                        "lineage"),
     "query_intent": ("simple_lookup", "aggregation", "anomaly_investigation", "trend_analysis",
