@@ -306,7 +306,8 @@ class Star:
         )
         return docs.select(
             "doc_id", "source_type",
-            F.concat_ws("-", "source", "doc_id").alias("source_id"),
+            F.when(source_type == "review", F.col("doc_id").cast("string"))
+            .otherwise(F.concat_ws("-", "source", "doc_id")).alias("source_id"),
             F.concat(F.lit("Document "), F.col("doc_id"), F.lit(" ("), F.col("lang"), F.lit(")")).alias("title"),
             F.col("text").alias("content"),
             F.col("lang").alias("content_lang"),

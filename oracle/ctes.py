@@ -302,7 +302,8 @@ FROM reasons JOIN ords o USING (order_id) JOIN scores m USING (order_id) GROUP B
 """
 
 CTES["docs"] = """
-SELECT *, CASE source_type
+SELECT *, CASE WHEN source_type = 'review' THEN doc_id::VARCHAR ELSE source || '-' || doc_id END AS source_id,
+       CASE source_type
             WHEN 'schema_doc' THEN 'schema' WHEN 'join_graph' THEN 'schema' WHEN 'anti_pattern' THEN 'schema'
             WHEN 'enum_reference' THEN 'schema' WHEN 'generated_column' THEN 'schema'
             WHEN 'business_rule' THEN 'business_rule' WHEN 'leakage_scenario' THEN 'business_rule'
@@ -317,7 +318,7 @@ FROM (
            'kpi_glossary', 'join_graph', 'anti_pattern', 'routing_hint', 'enum_reference', 'generated_column',
            'metric_definition', 'lineage_doc', 'anomaly_interpretation', 'summary_profile', 'temporal_context'])
            [substr(d.source, 4)::INTEGER + 1], 'review') AS source_type,
-         d.source || '-' || d.doc_id AS source_id, d.source, d.n_chars,
+         d.source, d.n_chars,
          'Document ' || d.doc_id || ' (' || d.lang || ')' AS title, d.text AS content, d.lang AS content_lang,
          least(10, 1 + d.n_chars // 500)::SMALLINT AS priority,
          CASE d.lang WHEN 'en' THEN 2.0 WHEN 'de' THEN 1.5 WHEN 'fr' THEN 1.3 ELSE 1.0 END::DECIMAL(4,2) AS retrieval_weight,
@@ -345,6 +346,201 @@ FROM (SELECT doc_id, list_concat(toks, stems) AS words FROM raw_tokens JOIN stem
 """
 
 
+CTES["lexlists"] = """
+SELECT doc_id, list_concat(toks, stems) AS words FROM raw_tokens JOIN stem_tokens USING (doc_id)
+"""
+
+
+def _cover_scores(raw: list[str], stem: list[str]) -> str:
+    """Cover density of every document for a fixed query, by window functions over its hits."""
+    def last(term: str) -> str:
+        return f"max(pos) FILTER (WHERE word = '{term}') OVER upto"
+
+    def start(terms: list[str]) -> str:
+        if not terms:
+            return "-1"
+        seen = " AND ".join(f"{last(t)} IS NOT NULL" for t in terms)
+        return f"CASE WHEN {seen} THEN least({', '.join(last(t) for t in terms)}) ELSE -1 END"
+
+    words = ", ".join(f"'{t}'" for t in dict.fromkeys(raw + stem))
+    return f"""
+WITH hits AS (SELECT doc_id, pos, word, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS n
+              FROM postings WHERE word IN ({words})),
+spans AS (SELECT doc_id, pos, n, greatest({start(raw)}, {start(stem)}) AS s FROM hits
+          WINDOW upto AS (PARTITION BY doc_id ORDER BY pos)),
+fresh AS (SELECT *, max(s) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+          FROM spans)
+SELECT f.doc_id, round(sum(0.1::DOUBLE / (1 + (f.pos - f.s) - (f.n - h.n))), 6) AS bm25_score
+FROM fresh f JOIN hits h ON h.doc_id = f.doc_id AND h.pos = f.s
+WHERE f.s > coalesce(f.before, -1) GROUP BY 1
+"""
+
+
+CTES["kwscores"] = _cover_scores(["this", "was"], ["thi", "was"])
+CTES["kwscores_raw"] = _cover_scores(["this", "was"], [])
+CTES["thescores"] = _cover_scores(["the"], ["the"])
+
+CTES["vecscores"] = """
+SELECT e.vec_id AS doc_id, round(list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]), 6) AS vector_score
+FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 7) q
+"""
+
+CTES["revdocs"] = """
+SELECT 'review' AS source_type, r.order_id::VARCHAR AS source_id, 'Customer Review: ' || r.order_id AS title,
+       'Order ID: ' || r.order_id || chr(10) || 'Rating: ' || r.rating_group || chr(10) || 'Sentiment: ' || r.sentiment
+         || chr(10) || 'Leakage Scenarios: ' || coalesce(x.names, 'no_leakage') || chr(10) || 'Order Status: '
+         || o.order_status || chr(10) || 'Review: ' || r.review_comment AS content,
+       'ar+en' AS content_lang, 'review' AS embedding_type,
+       CASE WHEN m.anomaly_flag = 1 AND r.sentiment = 'negative' THEN 5 WHEN m.anomaly_flag = 1 THEN 4
+            WHEN r.sentiment = 'negative' THEN 3 ELSE 2 END AS priority,
+       0.6::DECIMAL(4,2) AS retrieval_weight, r.rating_group, r.sentiment, m.anomaly_flag, m.risk_tier
+FROM revs r JOIN ords o USING (order_id) LEFT JOIN scores m USING (order_id)
+LEFT JOIN (SELECT order_id, string_agg(leakage_type, ', ' ORDER BY leakage_type) AS names FROM reasons GROUP BY 1) x USING (order_id)
+WHERE r.review_comment IS NOT NULL AND length(trim(r.review_comment)) > 10 AND NOT r.is_emoji_only
+  AND NOT EXISTS (SELECT 1 FROM docs d WHERE d.source_type = 'review' AND d.source_id = r.order_id::VARCHAR)
+ORDER BY coalesce(m.anomaly_flag, 0) DESC, CASE r.sentiment WHEN 'negative' THEN 0 WHEN 'neutral' THEN 1 ELSE 2 END,
+         r.review_date DESC NULLS FIRST, r.review_id
+LIMIT 30000
+"""
+
+CTES["leakdocs"] = """
+SELECT 'leakage_reason' AS source_type, m.order_id::VARCHAR AS source_id, 'Leakage Report: ' || m.order_id AS title,
+       'Order ID: ' || m.order_id || chr(10) || 'Risk Tier: ' || m.risk_tier || chr(10) || 'Anomaly Score: '
+         || m.ensemble_score || chr(10) || 'Order Status: ' || o.order_status || chr(10) || 'Payment Status: '
+         || o.payment_status || chr(10) || 'Total Revenue: ' || coalesce(o.total_revenue::VARCHAR, '') || ' EGP' || chr(10)
+         || 'Profit Margin: ' || coalesce(o.profit_margin::VARCHAR, '') || chr(10) || 'Shipping Delay Days: '
+         || coalesce(o.shipping_delay_days::VARCHAR, '') || chr(10) || 'Leakage Scenarios: ' || coalesce(x.names, 'none')
+         || chr(10) || 'Customer Segment: ' || c.segment || chr(10) || 'City: ' || c.customer_city AS content,
+       'ar+en' AS content_lang, 'business_rule' AS embedding_type,
+       CASE m.risk_tier WHEN 'Critical' THEN 8 WHEN 'High' THEN 7 WHEN 'Medium' THEN 5 ELSE 3 END AS priority,
+       CASE m.risk_tier WHEN 'Critical' THEN 1.2 WHEN 'High' THEN 1.0 ELSE 0.8 END::DECIMAL(4,2) AS retrieval_weight
+FROM scores m JOIN ords o USING (order_id) JOIN custs c ON c.customer_id = o.customer_id
+LEFT JOIN (SELECT order_id, string_agg(leakage_type, ' | ' ORDER BY leakage_type) AS names FROM reasons GROUP BY 1) x USING (order_id)
+WHERE m.anomaly_flag = 1
+"""
+
+CTES["visits"] = """
+SELECT user_id AS customer_id, min(ts) AS session_start, max(ts) AS session_end,
+       arg_min(event_type, (ts, event_id)) AS traffic_source, count(*) AS events, count(*) = 1 AS bounce,
+       round((epoch_us(max(ts)) - epoch_us(min(ts))) / 60000000, 2) AS session_duration_min
+FROM (
+  SELECT *, sum(is_new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS visit
+  FROM (SELECT *, (lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL
+                   OR ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 30 MINUTE)::INTEGER AS is_new
+        FROM events))
+GROUP BY user_id, visit
+"""
+
+CTES["sqltexts"] = """
+SELECT o_orderkey AS statement_id, CASE
+  WHEN o_orderpriority = '1-URGENT' THEN 'SELECT SUM(orders.amount) FROM ecommerce.payments WHERE order_id = ''' || o_orderkey || ''''
+  WHEN o_orderpriority = '2-HIGH' THEN 'select oi.price from ecommerce.order_items oi' || chr(10)
+    || 'join ecommerce.orders o using (order_id)' || chr(10) || 'where price > 10 and order_id = ' || o_orderkey
+  WHEN o_orderpriority = '3-MEDIUM' THEN 'SELECT payment_type FROM ecommerce.payments WHERE payment_sequential = 1 AND order_id = ' || o_orderkey
+  WHEN o_orderstatus = 'F' THEN 'SELECT * FROM orders WHERE order_status = ''Complete'' AND risk_tier = ''severe'' AND order_id = ' || o_orderkey
+  ELSE 'SELECT order_itemsXfinal_price, order_items.final_price FROM reviews r JOIN orders o JOIN payments p JOIN shipping s -- ' || o_orderkey
+  END AS sql_text
+FROM orders
+"""
+
+# the look-aheads of two rules are stated as a second, negated match (statements name the table once)
+CTES["vetted"] = r"""
+SELECT t.statement_id, r.guard_type, r.pattern, r.message
+FROM sqltexts t JOIN (VALUES
+  ('fake_column', 'contains', 'orders.status', 'Column does not exist. Use orders.order_status', ''),
+  ('fake_column', 'contains', 'orders.amount', 'Column does not exist. Use orders.total_revenue', ''),
+  ('fake_column', 'contains', 'customers.name', 'Column does not exist. Use customers.customer_unique_id or customer_city', ''),
+  ('fake_column', 'contains', 'payments.amount', 'Column does not exist. Use payments.payment_value', ''),
+  ('fake_column', 'contains', 'order_items.final_price', 'Column does not exist. Use order_items.price_after_discount', ''),
+  ('fake_enum', 'contains', '''complete''', 'Invalid order_status value. Use ''delivered'' or ''processing''', ''),
+  ('fake_enum', 'contains', '''success''', 'Invalid payment_status value. Use ''approved''', ''),
+  ('fake_enum', 'contains', '''pending_payment''', 'Invalid status. Use payment_status = ''unpaid''', ''),
+  ('fake_enum', 'contains', '''Extreme''', 'Invalid risk_tier. Valid values: Low, Medium, High, Critical', ''),
+  ('fake_enum', 'contains', '''Severe''', 'Invalid risk_tier. Valid values: Low, Medium, High, Critical', ''),
+  ('dangerous_join', 'regex', 'reviews\s+.*JOIN\s+.*orders\s+.*JOIN\s+.*payments\s+.*JOIN\s+.*shipping',
+   'Too many JOINs — use ml_output.mv_leakage_dashboard instead', 'R1'),
+  ('dangerous_join', 'regex', 'order_items\s+.*JOIN\s+.*orders\s+.*WHERE\s+.*\bprice\b(?!_after_discount)',
+   'Use price_after_discount instead of price for revenue calculations', 'R2'),
+  ('dangerous_join', 'regex', 'FROM\s+ecommerce\.payments(?!.*payment_sequential)',
+   'Missing payment_sequential = 1 filter — will return duplicate rows', 'R3')) r(guard_type, guard_mode, pattern, message, rule)
+ON CASE r.rule
+  WHEN '' THEN t.sql_text ILIKE '%' || r.pattern || '%'
+  WHEN 'R1' THEN regexp_matches(t.sql_text, '(?is)reviews\s+.*JOIN\s+.*orders\s+.*JOIN\s+.*payments\s+.*JOIN\s+.*shipping')
+  WHEN 'R2' THEN regexp_matches(t.sql_text, '(?is)order_items\s+.*JOIN\s+.*orders\s+.*WHERE\s+.*\bprice\b')
+  WHEN 'R3' THEN regexp_matches(t.sql_text, '(?is)FROM\s+ecommerce\.payments')
+    AND NOT regexp_matches(t.sql_text, '(?is)FROM\s+ecommerce\.payments.*payment_sequential') END
+"""
+
+# ---- benchmark texts as a batch of queries ----
+
+CTES["bterms"] = r"""
+SELECT DISTINCT item_id AS query_id, kind, term
+FROM (
+  SELECT item_id, 'raw' AS kind, unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')) AS term FROM benchmark
+  UNION ALL
+  SELECT item_id, 'stem', unnest(regexp_split_to_array(regexp_replace(lower(text),
+    '([\p{L}\p{N}]{3})(ings|ing|ied|ies|edly|ed|es|ly|s)([^\p{L}\p{N}]|$)', '\1\3', 'g'), '[^\p{L}\p{N}]+')) FROM benchmark)
+WHERE term <> ''
+"""
+
+CTES["bcand"] = """
+SELECT DISTINCT query_id, doc_id
+FROM (
+  SELECT query_id, kind, doc_id, count(*) AS found
+  FROM (SELECT DISTINCT doc_id, word FROM postings) p JOIN bterms t ON t.term = p.word GROUP BY 1, 2, 3)
+JOIN (SELECT query_id, kind, count(*) AS wanted FROM bterms GROUP BY 1, 2) USING (query_id, kind)
+JOIN docs d USING (doc_id) WHERE found = wanted AND d.is_active
+"""
+
+CTES["bhits"] = """
+SELECT c.query_id, c.doc_id, p.pos, p.word, row_number() OVER (PARTITION BY c.query_id, c.doc_id ORDER BY p.pos) AS n
+FROM bcand c JOIN postings p USING (doc_id)
+WHERE EXISTS (SELECT 1 FROM bterms t WHERE t.query_id = c.query_id AND t.term = p.word)
+"""
+
+CTES["bstarts"] = """
+SELECT query_id, doc_id, pos, n, max(s) AS s
+FROM (
+  SELECT e.query_id, e.doc_id, e.pos, e.n, e.kind, CASE WHEN count(h.pos) = count(*) THEN min(h.pos) ELSE -1 END AS s
+  FROM (SELECT b.*, t.kind, t.term FROM bhits b JOIN bterms t USING (query_id)) e
+  ASOF LEFT JOIN bhits h ON h.query_id = e.query_id AND h.doc_id = e.doc_id AND h.word = e.term AND e.pos >= h.pos
+  GROUP BY 1, 2, 3, 4, 5)
+GROUP BY 1, 2, 3, 4
+"""
+
+CTES["batchkw"] = """
+SELECT query_id, doc_id, bm25_score
+FROM (
+  SELECT f.query_id, f.doc_id, round(sum(0.1::DOUBLE / (1 + (f.pos - f.s) - (f.n - h.n))), 6) AS bm25_score
+  FROM (SELECT *, max(s) OVER (PARTITION BY query_id, doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+          AS before FROM bstarts) f
+  JOIN bhits h ON h.query_id = f.query_id AND h.doc_id = f.doc_id AND h.pos = f.s
+  WHERE f.s > coalesce(f.before, -1) GROUP BY 1, 2)
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY bm25_score DESC, doc_id) <= 24
+"""
+
+CTES["batchvec"] = """
+SELECT b.item_id AS query_id, e.vec_id AS doc_id,
+       round(list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]), 6) AS vector_score
+FROM benchmark b JOIN embeddings q ON q.vec_id = b.item_id, embeddings e JOIN docs d ON d.doc_id = e.vec_id
+WHERE d.is_active
+QUALIFY row_number() OVER (PARTITION BY b.item_id ORDER BY vector_score DESC, e.vec_id) <= 24
+"""
+
+CTES["batch"] = """
+SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY hybrid_score DESC, priority DESC, doc_id) AS rank
+FROM (
+  SELECT f.*, d.source_type, d.priority, d.retrieval_weight,
+         round((0.4::DOUBLE * bm25_score + 0.6::DOUBLE * vector_score) * d.retrieval_weight::DOUBLE, 9) AS hybrid_score
+  FROM (SELECT coalesce(k.query_id, v.query_id) AS query_id, coalesce(k.doc_id, v.doc_id) AS doc_id,
+               coalesce(bm25_score, 0::DOUBLE) AS bm25_score, coalesce(vector_score, 0::DOUBLE) AS vector_score
+        FROM batchkw k FULL JOIN batchvec v ON k.query_id = v.query_id AND k.doc_id = v.doc_id) f
+  JOIN docs d USING (doc_id)
+  QUALIFY row_number() OVER (PARTITION BY f.query_id, d.source_type ORDER BY hybrid_score DESC, f.doc_id) <= 2)
+QUALIFY rank <= 8
+"""
+
+
 def statement(body: str) -> str:
     """``body`` with the table expressions it uses, in dependency order."""
     order: list[str] = []
@@ -359,4 +555,7 @@ def statement(body: str) -> str:
     if not order:
         return body
     heads = ",\n".join(f"{name} AS MATERIALIZED ({CTES[name].strip()})" for name in order)
+    body = body.strip()
+    if body.upper().startswith("WITH "):
+        return f"WITH {heads},\n{body[5:]}"
     return f"WITH {heads}\n{body}"
