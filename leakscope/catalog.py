@@ -283,9 +283,7 @@ def f20_trigram_similarity(p: Platform) -> DataFrame:
 @query
 def f21_review_fulltext(p: Platform) -> DataFrame:
     raw, stem = search.query_terms(SEARCH_TEXT)
-    lex = X.lexemes(F.coalesce("review_comment", F.lit("")))
-    found = p.star.reviews().withColumn("lex", lex).filter(
-        X.contains_all(F.col("lex"), raw) | X.contains_all(F.col("lex"), stem))
+    found = p.star.reviews().filter(X.text_matches(F.coalesce("review_comment", F.lit("")), raw, stem))
     return found.select("review_id", "order_id", "sentiment")
 
 

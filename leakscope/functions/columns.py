@@ -38,7 +38,9 @@ def month_label(month: Column) -> Column:
 
 
 def price_after_discount(price: Column, discount: Column) -> Column:
-    return F.round(price * (F.lit(1) - discount), 2).cast("decimal(12,2)")
+    # kept to 18 digits, which Spark computes on longs
+    kept = (F.lit(1) - discount).cast("decimal(4,3)")
+    return F.round(price * kept, 2).cast("decimal(12,2)")
 
 
 def total_profit(revenue: Column, logistics: Column, params: RuleParams = DEFAULT_PARAMS) -> Column:

@@ -43,6 +43,15 @@ def contains_all(lexeme_list: Column, terms: list[str]) -> Column:
     return found
 
 
+def text_matches(text: Column, raw_terms: list[str], stem_terms: list[str]) -> Column:
+    """True when a text without stored lexemes holds all raw terms or all stems.
+
+    The one-element array binds the lexeme list, so the text is cut once and not per term.
+    """
+    tested = F.transform(F.array(lexemes(text)), lambda lex: contains_all(lex, raw_terms) | contains_all(lex, stem_terms))
+    return F.get(tested, F.lit(0))
+
+
 def cover_density(lexeme_list: Column, raw_terms: Column, stem_terms: Column) -> Column:
     """Cover-density rank of a lexeme list for an "all raw terms or all stems" query.
 
@@ -115,18 +124,15 @@ def cover_density(lexeme_list: Column, raw_terms: Column, stem_terms: Column) ->
 
 def trigrams(text: Column) -> Column:
     """Distinct 3-character pieces of each word, padded two blanks in front and one behind."""
+    padded = F.transform(F.array_distinct(tokens(text)), lambda w: F.concat(F.lit("  "), w, F.lit(" ")))
     per_word = F.transform(
-        F.array_distinct(tokens(text)),
-        lambda w: F.transform(
-            F.sequence(F.lit(1), F.length(w) + 1),
-            lambda i: F.substring(F.concat(F.lit("  "), w, F.lit(" ")), i, F.lit(3)),
-        ),
-    )
+        padded,
+        lambda w: F.transform(F.sequence(F.lit(1), F.length(w) - 2), lambda i: F.substring(w, i, F.lit(3))))
     return F.array_distinct(F.flatten(per_word))
 
 
 def trigram_similarity(left: Column, right: Column) -> Column:
     """Shared trigrams over all trigrams of two texts, 0..1."""
     a, b = trigrams(left), trigrams(right)
-    shared = F.size(F.array_intersect(a, b))
-    return F.try_divide(shared.cast("double"), F.size(F.array_union(a, b)))
+    shared = F.size(F.array_intersect(a, b)).cast("double")
+    return F.try_divide(shared, F.size(a) + F.size(b) - shared)

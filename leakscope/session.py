@@ -7,6 +7,9 @@ import tempfile
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+# Text and token columns are several times larger in memory than on disk. Without this the planner
+# takes a corpus scan for small and broadcasts it; adaptive execution still broadcasts what proves small.
+SIZE_FACTOR = ("spark.sql.sources.fileCompressionFactor", "8.0")
 
 _local_scratch: dict[str, str] = {}
 
@@ -26,6 +29,7 @@ def build_session(app_name: str = "leakscope", master: str | None = None,
         .config("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled", "true")
         .config("spark.sql.parquet.filterPushdown", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config(*SIZE_FACTOR)
         .config("spark.ui.enabled", "false")
     )
     if master:
@@ -59,3 +63,10 @@ def shared_dir(spark: SparkSession) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint()`` usable, on the shared folder."""
     shared_dir(spark)
+
+
+def check_size_estimates(spark: SparkSession) -> None:
+    """Apply the size factor to a session made elsewhere, unless its owner chose one."""
+    name, value = SIZE_FACTOR
+    if float(spark.conf.get(name)) == 1.0:
+        spark.conf.set(name, value)

@@ -71,7 +71,8 @@ FROM lineitem GROUP BY 1
 """
 
 CTES["rollup"] = """
-SELECT *, round(total_profit::DOUBLE / nullif(total_revenue, 0)::DOUBLE, 4)::DECIMAL(7,4) AS profit_margin
+SELECT *, (sign(total_profit) * ((2 * (abs(total_profit) * 100)::HUGEINT * 10000 + (total_revenue * 100)::HUGEINT)
+            // nullif(2 * (total_revenue * 100)::HUGEINT, 0))::DECIMAL(18,0) * 0.0001)::DECIMAL(7,4) AS profit_margin
 FROM (
   SELECT *, round(total_revenue - total_logistics - 0.15 * total_revenue, 2)::DECIMAL(14,2) AS total_profit
   FROM (
@@ -101,7 +102,8 @@ FROM headers h LEFT JOIN rollup r USING (order_id) LEFT JOIN paysum s USING (ord
 CTES["ship"] = """
 SELECT *, coalesce(fee_to_cost_ratio > 2.5, false) AS fee_calculation_error
 FROM (
-  SELECT *, round(shipping_fee_charged::DOUBLE / nullif(actual_logistics_cost, 0)::DOUBLE, 4)::DECIMAL(10,4)
+  SELECT *, (((2 * (shipping_fee_charged * 100)::HUGEINT * 10000 + (actual_logistics_cost * 100)::HUGEINT)
+             // nullif(2 * (actual_logistics_cost * 100)::HUGEINT, 0))::DECIMAL(18,0) * 0.0001)::DECIMAL(10,4)
            AS fee_to_cost_ratio
   FROM (
     SELECT h.order_id, h.carrier, p.shipped_date, p.delivered_date,
