@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[8]", 8)
+    session = build_session("tests", "local[8]", 4)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
