@@ -10,7 +10,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leakscope.functions.vectors import cosine_to
+from leakscope.functions.vectors import cosine_scores
 
 
 def build_cells(embeddings: DataFrame, cells: int = 100, seed: int = 42, max_iter: int = 10) -> tuple[DataFrame, np.ndarray]:
@@ -33,6 +33,5 @@ def probe_search(celled: DataFrame, centres: np.ndarray, vector: Sequence[float]
     ``celled`` should be stored partitioned by ``cell`` so that the scan reads only those folders.
     """
     cells = nearest_cells(centres, vector, probes)
-    return celled.filter(F.col("cell").isin(cells)).select(
-        "doc_id", F.round(cosine_to(F.col("embedding"), vector), 6).alias("similarity")
-    ).orderBy(F.desc("similarity"), "doc_id").limit(k)
+    found = cosine_scores(celled.filter(F.col("cell").isin(cells)), vector, out="similarity")
+    return found.orderBy(F.desc("similarity"), "doc_id").limit(k)

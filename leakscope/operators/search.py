@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leakscope.functions import text as X
-from leakscope.functions.vectors import cosine_to
+from leakscope.functions.vectors import cosine_scores
 from leakscope.operators.ranking import top_per_group
 
 VECTOR_WEIGHT = 0.6
@@ -71,9 +71,7 @@ def vector_hits(documents: DataFrame, embeddings: DataFrame, vector: Sequence[fl
                 types: Sequence[str] | None = None) -> DataFrame:
     """The ``k`` active documents whose vectors are closest in cosine; all of them for ``k=None``."""
     keep = _searchable(documents, types).select("doc_id", "source_type", "retrieval_weight", "priority")
-    scored = embeddings.select(
-        "doc_id", F.round(cosine_to(F.col("embedding"), vector), 6).alias("vector_score")
-    ).filter(F.col("vector_score").isNotNull())
+    scored = cosine_scores(embeddings, vector)
     hits = scored.join(keep, "doc_id")
     if k is None:
         return hits

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leakscope.functions import text as X
-from leakscope.functions.vectors import cosine, cosine_to
+from leakscope.functions.vectors import cosine, cosine_scores
 from leakscope.operators import ivf, search
 
 DIM = 8
@@ -114,16 +114,14 @@ def test_batch_equals_single_queries(spark, corpus, monkeypatch, block_bytes):
 
 def test_cosine_forms_agree(spark):
     rng = np.random.default_rng(2)
-    for dim in (4, 300):  # generated arithmetic and Arrow batches
-        rows = [(i, [float(x) for x in rng.normal(size=dim)]) for i in range(20)] + [(99, [0.0] * dim)]
-        q = [float(x) for x in rng.normal(size=dim)]
-        df = spark.createDataFrame(rows, "i int, v array<double>")
-        got = df.select("i", cosine_to(F.col("v"), q).alias("a"), cosine(F.col("v"), F.lit(q)).alias("b")).collect()
-        for r in got:
-            if r.i == 99:
-                assert r.a is None and r.b is None
-            else:
-                assert abs(r.a - r.b) < 1e-9
+    rows = [(i, [float(x) for x in rng.normal(size=20)]) for i in range(50)]
+    q = [float(x) for x in rng.normal(size=20)]
+    odd = [(98, [1.0]), (99, [0.0] * 20)]  # wrong length, no direction: not scored
+    df = spark.createDataFrame(rows + odd, "doc_id int, embedding array<double>")
+    fast = {r.doc_id: r.vector_score for r in cosine_scores(df, q).collect()}
+    slow = {r.doc_id: r.s for r in df.filter("doc_id < 98").select("doc_id", cosine(F.col("embedding"), F.lit(q)).alias("s")).collect()}
+    assert set(fast) == set(slow) and all(abs(fast[i] - slow[i]) < 1e-6 for i in fast)
+    assert cosine_scores(df, [0.0] * 20).count() == 0
 
 
 def test_ivf_recall_and_exactness(corpus):
@@ -133,8 +131,7 @@ def test_ivf_recall_and_exactness(corpus):
     hit = total = 0
     for probe in list(vecs)[:20]:
         exact = ids(ivf.probe_search(celled, centres, vecs[probe], 10, probes=8))
-        want = [r.doc_id for r in e.select("doc_id", F.round(cosine_to(F.col("embedding"), vecs[probe]), 6).alias("s"))
-                .orderBy(F.desc("s"), "doc_id").limit(10).collect()]
+        want = [r.doc_id for r in cosine_scores(e, vecs[probe]).orderBy(F.desc("vector_score"), "doc_id").limit(10).collect()]
         assert exact == want
         hit += len(set(want) & set(ids(ivf.probe_search(celled, centres, vecs[probe], 10, probes=5))))
         total += 10
