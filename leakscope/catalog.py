@@ -1031,8 +1031,8 @@ def s1_document_feed(p: Platform) -> DataFrame:
     changes = feeds.file_stream(p.spark, incoming, schema)
     feed = feeds.DocumentFeed(store, embedding.hashed_terms(EMBED_DIM), EMBED_DIM)
     feed.start(changes, f"{root}/checkpoint").awaitTermination()
-    vectors = store.read("embeddings").select("doc_id", F.lit(True).alias("has_vector"))
-    return store.read("documents").join(vectors, "doc_id", "left").select(
+    vectors = feed.embeddings().select("doc_id", F.lit(True).alias("has_vector"))
+    return feed.documents().join(vectors, "doc_id", "left").select(
         "doc_id", "version", "needs_reembedding", F.coalesce("has_vector", F.lit(False)).alias("has_vector"))
 
 

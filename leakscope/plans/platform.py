@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from leakscope.config import RuleParams
 from leakscope.plans import marts, orders, scenarios
-from leakscope.session import check_size_estimates, shared_dir
+from leakscope.session import shared_dir, tune
 from leakscope.sources.star import STAR_PARAMS, Star
 from leakscope.sources.tables import TableStore
 
@@ -32,7 +32,7 @@ class Platform:
     """Lazy access to every table of the platform by name."""
 
     def __init__(self, spark: SparkSession, folder: str, params: RuleParams = STAR_PARAMS, root: str | None = None):
-        check_size_estimates(spark)
+        tune(spark)
         self.spark = spark
         self.params = params
         self.star = Star(spark, folder)

@@ -10,6 +10,8 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 # Text and token columns are several times larger in memory than on disk. Without this the planner
 # takes a corpus scan for small and broadcasts it; adaptive execution still broadcasts what proves small.
 SIZE_FACTOR = ("spark.sql.sources.fileCompressionFactor", "8.0")
+# Visits of a user merge inside each task before the shuffle, so a very busy user arrives small.
+MERGE_SESSIONS = ("spark.sql.sessionWindow.merge.sessions.in.local.partition", "true")
 
 _local_scratch: dict[str, str] = {}
 
@@ -30,6 +32,7 @@ def build_session(app_name: str = "leakscope", master: str | None = None,
         .config("spark.sql.parquet.filterPushdown", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config(*SIZE_FACTOR)
+        .config(*MERGE_SESSIONS)
         .config("spark.ui.enabled", "false")
     )
     if master:
@@ -65,8 +68,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     shared_dir(spark)
 
 
-def check_size_estimates(spark: SparkSession) -> None:
-    """Apply the size factor to a session made elsewhere, unless its owner chose one."""
-    name, value = SIZE_FACTOR
-    if float(spark.conf.get(name)) == 1.0:
-        spark.conf.set(name, value)
+def tune(spark: SparkSession) -> None:
+    """Apply the settings plans rely on to a session made elsewhere, unless its owner chose otherwise."""
+    for (name, value), default in ((SIZE_FACTOR, "1.0"), (MERGE_SESSIONS, "false")):
+        if spark.conf.get(name) == default:
+            spark.conf.set(name, value)

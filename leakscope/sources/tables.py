@@ -119,13 +119,20 @@ class TableStore:
             df.write.parquet(target)
         return self.spark.read.parquet(target)
 
-    def has_version(self, name: str, version: int) -> bool:
-        return version in self._versions(name, complete_only=True)
-
     def latest_before(self, name: str, version: int) -> int:
         """Newest complete version older than ``version``."""
         return [v for v in self._versions(name, complete_only=True) if v < version][-1]
 
+    def last_batch(self, name: str) -> int:
+        """Highest finished ``batch=`` folder of a side table, -1 for none."""
+        fs, path = self._fs(f"{self.root}/{name}")
+        if not fs.exists(path):
+            return -1
+        jvm_path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        folders = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("batch=")]
+        done = [int(f.getName()[6:]) for f in folders if fs.exists(jvm_path(f, "_SUCCESS"))]
+        return max(done, default=-1)
+
     def put(self, name: str, df: DataFrame, version: int) -> None:
         """Write a given version, over an unfinished earlier attempt at it."""
         df.write.mode("overwrite").parquet(self.path(name, version))
