@@ -69,7 +69,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def tune(spark: SparkSession) -> None:
-    """Apply the settings plans rely on to a session made elsewhere, unless its owner chose otherwise."""
+    """Apply the settings results and plans rely on to a session made elsewhere.
+
+    Calendar and window results are defined in UTC. The two plan settings yield to the owner's choice.
+    """
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     for (name, value), default in ((SIZE_FACTOR, "1.0"), (MERGE_SESSIONS, "false")):
         if spark.conf.get(name) == default:
             spark.conf.set(name, value)
