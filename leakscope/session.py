@@ -11,7 +11,7 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 # takes a corpus scan for small and broadcasts it; adaptive execution still broadcasts what proves small.
 SIZE_FACTOR = ("spark.sql.sources.fileCompressionFactor", "8.0")
 # Visits of a user merge inside each task before the shuffle, so a very busy user arrives small.
-MERGE_SESSIONS = ("spark.sql.sessionWindow.merge.sessions.in.local.partition", "true")
+MERGE_SESSIONS = ("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
 
 _local_scratch: dict[str, str] = {}
 
@@ -75,5 +75,5 @@ def tune(spark: SparkSession) -> None:
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     for (name, value), default in ((SIZE_FACTOR, "1.0"), (MERGE_SESSIONS, "false")):
-        if spark.conf.get(name) == default:
+        if spark.conf.get(name, default) == default:
             spark.conf.set(name, value)

@@ -22,3 +22,15 @@ def test_coverage_lists_all_ids_and_real_queries():
     queries = set(entry_points.queries())
     named = {q for line in text.splitlines() if line.startswith("| ") for q in re.findall(r"`(\w+)`", line)}
     assert named == queries
+
+
+def test_tune_fits_a_session_made_elsewhere(spark):
+    from leakscope import session
+
+    other = spark.newSession()
+    for name, _ in (session.SIZE_FACTOR, session.MERGE_SESSIONS):
+        other.conf.unset(name)
+    session.tune(other)
+    assert [other.conf.get(n) for n, _ in (session.SIZE_FACTOR, session.MERGE_SESSIONS)] == [
+        session.SIZE_FACTOR[1], session.MERGE_SESSIONS[1]]
+    assert other.conf.get("spark.sql.session.timeZone") == "UTC"
