@@ -11,8 +11,10 @@ import compare  # noqa: E402
 
 import __spark_entry__ as entry_points  # noqa: E402
 
-QUERIES = entry_points.queries()
-STATEMENTS = entry_points.oracle_sql()
+from leakscope.catalog import QUERIES  # noqa: E402
+from oracle.statements import statements  # noqa: E402
+
+STATEMENTS = statements()
 
 
 @pytest.fixture(scope="module")
@@ -35,3 +37,5 @@ def test_entry(spark):
 
 def test_statements_belong_to_queries():
     assert set(STATEMENTS) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
