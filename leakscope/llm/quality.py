@@ -22,14 +22,16 @@ FEATURES = ("log_words", "word_length", "symbol_root", "dup_line_root", "repeat_
 class McdParams:
     """``share`` of a group that the estimate rests on; number of ``steps``; groups below ``least_rows`` are
     pooled by language, then overall; ``floors`` are standard deviations added to those of each feature,
-    so that a feature that is constant in a group still has a scale; rows beyond ``cut`` squared
-    distances (scaled to a median of five degrees of freedom) are rejected."""
+    so that a feature that is constant in a group still has a scale, and what the floor spans counts as
+    harmless; rows whose squared distance is beyond ``cut`` (five degrees of
+    freedom exceed it once in 100,000) are rejected. Distances are scaled down where
+    their median is above that of five degrees of freedom, never up."""
 
     share: float = 0.75
     steps: int = 5
     least_rows: int = 100
-    floors: tuple[float, ...] = (0.3, 0.5, 0.05, 0.1, 0.1)
-    cut: float = 60.0
+    floors: tuple[float, ...] = (1.0, 0.5, 0.05, 0.3, 0.3)
+    cut: float = 30.86
 
 
 # Median of the chi-squared distribution with five degrees of freedom.
@@ -195,7 +197,8 @@ def robust_outliers(docs: DataFrame, params: McdParams | None = None, id_col: st
     Where even the last group has under ``least_rows`` rows, distances are null and the base rules decide.
     """
     p = params or McdParams()
-    rows = stored(_grouped(statistics(docs, id_col, text_col, lang_col, source_col), p.least_rows), "quality_rows")
+    measured = stored(statistics(docs, id_col, text_col, lang_col, source_col), "quality_rows")
+    rows = _grouped(measured, p.least_rows)
     fitted = rows.filter(~F.col("base_failed"))
     enough = lambda t: t.filter(F.col("n") >= p.share * p.least_rows)
     estimate = stored(enough(_start(fitted, p.floors)), "quality_estimate")
@@ -203,7 +206,7 @@ def robust_outliers(docs: DataFrame, params: McdParams | None = None, id_col: st
         estimate = stored(_factor(_nearest(_binned(fitted, estimate), p.share), p.floors), "quality_estimate")
     median = _median_distance(_binned(fitted, estimate))
     final = stored(estimate.join(median, "grp"), "quality_estimate")
-    scale = F.greatest(F.col("median") / CHI2_MEDIAN, F.lit(1e-6))
+    scale = F.greatest(F.col("median") / CHI2_MEDIAN, F.lit(1.0))
     judged = rows.join(_sized(final.drop("n")), "grp", "left").withColumn("distance", _distance(len(FEATURES)) / scale)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                          "distance", (~F.col("base_failed") & F.coalesce(F.col("distance") <= p.cut, F.lit(True))).alias("kept"))
