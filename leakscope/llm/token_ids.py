@@ -15,10 +15,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Pieces kept per worker; beyond it the cache starts afresh (the ids stay the same).
-CACHE_PIECES = 4_000_000
+# Pieces kept per worker, some 60 MB; beyond it those met in one slab only are forgotten.
+CACHE_PIECES = 1_000_000
 # Bytes of text worked on at once.
-SLAB = 16 << 20
+SLAB = 8 << 20
+# Pieces encoded together.
+JOINED = 4096
 
 _open: dict[str, "TokenIds"] = {}
 
@@ -39,6 +41,11 @@ class TokenIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        # A second one that knows its last special token, which can then stand between pieces.
+        self.splitter = Tokenizer.from_file(path)
+        special = [t for t in self.splitter.get_added_tokens_decoder().items() if t[1].special]
+        self.mark_id, mark = special[-1]
+        self.mark = mark.content
         self._reset()
 
     def _reset(self) -> None:
@@ -46,6 +53,32 @@ class TokenIds:
         self.lengths = np.zeros(0, np.int64)
         self.starts = np.zeros(0, np.int64)
         self.ids = np.zeros(0, "<u4")
+        self.slabs = np.zeros(0, np.int32)  # slabs each piece was met in
+
+    def _forget(self) -> None:
+        """Drop the pieces met in one slab only, or all if that is not enough."""
+        keep = self.slabs > 1
+        if 2 * keep.sum() > CACHE_PIECES:
+            return self._reset()
+        self.ids = self.ids[np.repeat(keep, self.lengths)]
+        self.pieces = self.pieces.filter(pa.array(keep))
+        self.lengths, self.slabs = self.lengths[keep], np.ones(int(keep.sum()), np.int32)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Like ``_encode`` for many short texts: a batch goes through the library as one text, with the
+        special token between pieces. A batch with a piece that may hold such a token itself goes one by one."""
+        if any("<|" in p for p in pieces):
+            return self._encode(pieces)
+        parts, lengths = [], []
+        for at in range(0, len(pieces), JOINED):
+            some = pieces[at:at + JOINED]
+            joined = self.splitter.encode_batch_fast([self.mark.join(some)], add_special_tokens=False)[0].ids
+            ids = np.array(joined, "<u4")
+            marks = np.flatnonzero(ids == self.mark_id)
+            parts.append(np.delete(ids, marks))
+            lengths.append(np.diff(marks, prepend=-1, append=len(ids)) - 1)
+        return (np.concatenate(parts), np.concatenate(lengths)) if parts else self._encode([])
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -56,11 +89,11 @@ class TokenIds:
     def _places(self, pieces: pa.Array) -> np.ndarray:
         """Cache places of distinct pieces; new ones are encoded first."""
         if len(self.pieces) > CACHE_PIECES:
-            self._reset()
+            self._forget()
         places = pc.index_in(pieces, value_set=self.pieces)
         new = pieces.filter(pc.is_null(places))
         if len(new):
-            flat, lengths = self._encode(new.to_pylist())
+            flat, lengths = self._encode_pieces(new.to_pylist())
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
             self.lengths = np.concatenate([self.lengths, lengths])
             self.ids = np.concatenate([self.ids, flat])
@@ -68,8 +101,11 @@ class TokenIds:
             self.pieces = pa.concat_arrays([self.pieces, new])
             out = places.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
             out[out < 0] = np.arange(first, len(self.pieces))
-            return out
-        return places.to_numpy(zero_copy_only=False).astype(np.int64)
+            self.slabs = np.concatenate([self.slabs, np.zeros(len(new), np.int32)])
+        else:
+            out = places.to_numpy(zero_copy_only=False).astype(np.int64)
+        self.slabs[out] += 1
+        return out
 
     def _slab(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
         spaced = pc.split_pattern(texts, " ")
@@ -96,7 +132,7 @@ class TokenIds:
         at = place[codes]
         first_codes, back = np.unique(codes[lead], return_inverse=True)
         firsts = coded.dictionary.take(pa.array(first_codes))
-        flat_first, len_first = self._encode(firsts.to_pylist())
+        flat_first, len_first = self._encode_pieces(firsts.to_pylist())
         base = len(self.ids)
         pool = np.concatenate([self.ids, flat_first])
         starts, lengths = np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)
@@ -127,4 +163,5 @@ class TokenIds:
         for a, b in zip(cuts, cuts[1:], strict=False):
             if b > a:
                 yield self._slab(texts.slice(a, b - a))
+                pa.default_memory_pool().release_unused()
 
