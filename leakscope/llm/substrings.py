@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +25,7 @@ GROUP = 4  # words a minimiser covers
 HOT_RUNS = 50_000
 
 _RUN = "bucket long, did long, th long, start int, packed binary"
+_PLACE = "bucket long, did long, th long, start int, stop int"
 _MARK = "did long, th long, start int, stop int"
 
 
@@ -38,7 +40,7 @@ _POWERS = np.cumprod(np.full(256, 0x9E3779B97F4A7C15, np.uint64))
 
 
 def _runs(text: str | None, window: int, group: int):
-    """Bucket, first window and packed words of each run of windows that share a minimiser."""
+    """Bucket, first word and end of each run of windows that share a minimiser."""
     joined = b" ".join(text.encode().split()) if text else b""
     raw = np.frombuffer(joined, np.uint8)
     gaps = np.flatnonzero(raw == 32)
@@ -46,7 +48,6 @@ def _runs(text: str | None, window: int, group: int):
     if n < window:
         return None
     starts = np.concatenate([[0], gaps + 1])
-    stops = np.concatenate([gaps, [len(raw)]])
     # A hash only chooses buckets, so long words may wrap around the powers.
     place = np.arange(len(raw)) - np.repeat(starts, np.diff(np.concatenate([starts, [len(raw)]])))
     word = _mix(np.add.reduceat((raw.astype(np.uint64) + np.uint64(1)) * _POWERS[place & 255] * (raw != 32), starts))
@@ -57,35 +58,46 @@ def _runs(text: str | None, window: int, group: int):
     least = np.lib.stride_tricks.sliding_window_view(grams, window - group + 1).argmin(axis=1) + np.arange(n - window + 1)
     first = np.flatnonzero(np.diff(least, prepend=-1))
     last = np.append(first[1:], len(least)) - 1
-    cuts = zip(starts[first].tolist(), stops[last + window - 1].tolist(), strict=True)
-    return grams[least[first]].view(np.int64), first, [joined[a:b] for a, b in cuts]
+    # 48 bits tell minimisers apart and shuffle in less space than 64.
+    return (grams[least[first]] >> np.uint64(16)).view(np.int64), first.astype(np.int32), (last + window).astype(np.int32)
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows with their key: the id (null ids count as the largest) and a hash of the text."""
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows with their key, the id (null ids count as the largest) and a 32-bit hash of the text, which only
+    tells rows of one id apart, and the words of the text, joined by one space and compressed, as the text is what is shuffled."""
+    def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1)
+        for b in batches:
+            texts = b.column(3).to_pylist()
+            small = pa.array([press.compress(b" ".join(t.encode().split()) if t else b"") for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], small], names=["doc_id", "did", "th", "words"])
+
     text = F.col(text_col)
-    return docs.select(F.col(id_col).alias("doc_id"), text.alias("text"),
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)).alias("did"),
-                       F.xxhash64(text).alias("th"))
+                       F.hash(text).cast("long").alias("th"), text.alias("text")).mapInArrow(
+        compress, "doc_id long, did long, th long, words binary").filter(
+        # Both joins ask for this, so with it they read the same shuffle.
+        F.col("did").isNotNull() & F.col("th").isNotNull())
 
 
-def _packed(rows: DataFrame, window: int, group: int) -> DataFrame:
+def _places(docs: DataFrame, id_col: str, text_col: str, window: int, group: int) -> DataFrame:
+    """Bucket and word range of every run, without its words."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             parts = [(i, got) for i, t in enumerate(b.column(2)) if (got := _runs(t.as_py(), window, group))]
-            if not parts:
-                continue
-            at = pa.array(np.repeat([i for i, _ in parts], [len(g[1]) for _, g in parts]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([g[0] for _, g in parts])), b.column(0).take(at), b.column(1).take(at),
-                 pa.array(np.concatenate([g[1] for _, g in parts]).astype(np.int32)),
-                 pa.array([x for _, g in parts for x in g[2]], pa.binary())],
-                names=["bucket", "did", "th", "start", "packed"])
+            if parts:
+                at = pa.array(np.repeat([i for i, _ in parts], [len(g[1]) for _, g in parts]))
+                bucket, start, stop = (pa.array(np.concatenate([g[k] for _, g in parts])) for k in range(3))
+                yield pa.RecordBatch.from_arrays([bucket, b.column(0).take(at), b.column(1).take(at), start, stop],
+                                                 names=["bucket", "did", "th", "start", "stop"])
 
-    return rows.select("did", "th", "text").mapInArrow(cut, _RUN)
+    text = F.col(text_col)
+    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)).alias("did"),
+                       F.hash(text).cast("long").alias("th"), text.alias("text")).mapInArrow(cut, _PLACE)
 
 
-def _bucket_sizes(rows: DataFrame, window: int, group: int) -> DataFrame:
+def _bucket_sizes(docs: DataFrame, text_col: str, window: int, group: int) -> DataFrame:
     """Runs per minimiser, added up within each batch before they are shuffled."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -94,7 +106,29 @@ def _bucket_sizes(rows: DataFrame, window: int, group: int) -> DataFrame:
                 bucket, n = np.unique(np.concatenate(got), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(n)], names=["bucket", "n"])
 
-    return rows.select("text").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    return docs.select(F.col(text_col).alias("text")).mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(
+        F.sum("n").alias("n"))
+
+
+def _packed(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """The words of the given runs, each one packed string. A document's runs are gathered, no more than it
+    has words."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpress = zstandard.ZstdDecompressor()
+        for b in batches:
+            out: list[tuple] = []
+            for did, th, small, runs in zip(*(b.column(c).to_pylist() for c in range(1, 5)), strict=True):
+                joined = unpress.decompress(small)
+                gaps = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
+                starts = np.concatenate([[0], gaps + 1]).tolist()
+                stops = np.concatenate([gaps, [len(joined)]]).tolist()
+                out += [(r["bucket"], did, th, r["start"], joined[starts[r["start"]]:stops[r["stop"] - 1]]) for r in runs]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(
+                (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
+                names=["bucket", "did", "th", "start", "packed"])
+
+    per_doc = places.groupBy("did", "th").agg(F.collect_set(F.struct("bucket", "start", "stop")).alias("runs"))
+    return rows.join(per_doc, ["did", "th"]).select("doc_id", "did", "th", "words", "runs").mapInArrow(pack, _RUN)
 
 
 def _spans(places: list[int], window: int) -> list[tuple[int, int]]:
@@ -112,10 +146,9 @@ def _compare(runs: list[tuple], window: int) -> list[tuple]:
     """Marks of one bucket; runs are ``(did, th, start, packed)`` by document and place."""
     marks, seen, whole = [], {}, {}
     for did, th, start, packed in runs:
-        words = None
-        if (at := whole.setdefault(packed, (did, start))) != (did, start):  # the same run again: all of it repeats
-            if at < (did, start):
-                marks.append((did, th, start, start + packed.count(b" ") + 1))
+        at = whole.setdefault(packed, (did, start))
+        if at != (did, start):  # the same run again: all of it repeats
+            marks.append((did, th, start, start + packed.count(b" ") + 1))
             continue
         words = packed.split(b" ")
         again = []
@@ -184,26 +217,27 @@ def _repeats_by_window(runs: DataFrame, window: int) -> DataFrame:
         "did", "th", F.col("at").alias("start"), (F.col("at") + window).alias("stop"))
 
 
-def repeats(rows: DataFrame, window: int = WINDOW, group: int = GROUP, hot_runs: int = HOT_RUNS) -> DataFrame:
+def repeats(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str, window: int = WINDOW, group: int = GROUP,
+            hot_runs: int = HOT_RUNS) -> DataFrame:
     """Word ranges ``(did, th, start, stop)`` covered by windows that start earlier as well.
 
-    Minimisers are counted first. One with more than ``hot_runs`` runs (a passage that a large share of
-    documents hold) would fill one task, so its windows are compared by themselves, each in its own group.
+    Runs are counted per minimiser first. A minimiser of one run holds no repeat, so only the others' runs
+    are packed and sent. One with more than ``hot_runs`` runs (a passage that a large share of documents
+    hold) would fill one task, so its windows are compared by themselves, each in its own group.
     """
-    runs = _packed(rows, window, group)
-    hot = stored(_bucket_sizes(rows, window, group).filter(F.col("n") > hot_runs).select("bucket"), "hot_minimisers")
-    n_hot = hot.count()
-    if not n_hot:
-        return _repeats_in_buckets(runs, window)
-    side = F.broadcast(hot) if n_hot <= 100_000 else hot  # 800 KB
-    return _repeats_in_buckets(runs.join(side, "bucket", "left_anti"), window).unionByName(
-        _repeats_by_window(runs.join(side, "bucket", "left_semi"), window))
-
-
-def _keep(text: str | None, starts, stops) -> tuple[str, int, int]:
-    words = text.encode().split() if text else []
+    sizes = stored(_bucket_sizes(docs, text_col, window, group).filter("n > 1"), "repeated_minimisers")
+    places = _places(docs, id_col, text_col, window, group)
+    met = lambda some: places.join(sizes.filter(some).select("bucket"), "bucket")
+    out = _repeats_in_buckets(_packed(rows, met(F.col("n") <= hot_runs)), window)
+    if sizes.filter(F.col("n") > hot_runs).limit(1).count():
+        out = out.unionByName(_repeats_by_window(_packed(rows, met(F.col("n") > hot_runs)), window))
+    return out
+
+
+def _keep(joined: bytes, starts, stops) -> tuple[str, int, int]:
+    words = joined.split()
     if starts is None or not len(starts):
-        return b" ".join(words).decode(), len(words), 0
+        return joined.decode(), len(words), 0
     steps = np.zeros(len(words) + 1, np.int64)
     np.add.at(steps, starts, 1)
     np.add.at(steps, stops, -1)
@@ -221,18 +255,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     come last. A null text has no words. Kept words are joined by one space.
     """
     small_batches(docs.sparkSession)
-    rows = _keyed(docs, id_col, text_col)
-    marks = repeats(rows, window, group, hot_runs).groupBy("did", "th").agg(
+    rows = _rows(docs, id_col, text_col)
+    marks = repeats(docs, rows, id_col, text_col, window, group, hot_runs).groupBy("did", "th").agg(
         F.collect_set(F.struct("start", "stop")).alias("marks"))
     got = rows.join(marks, ["did", "th"], "left")
-    return got.select("doc_id", _kept(F.col("text"), F.col("marks.start"), F.col("marks.stop")).alias("_k")).select("doc_id", "_k.*")
+    return got.select("doc_id", _kept(F.col("words"), F.col("marks.start"), F.col("marks.stop")).alias("_k")).select("doc_id", "_k.*")
 
 
-def _kept(text: Column, starts: Column, stops: Column) -> Column:
+def _kept(words: Column, starts: Column, stops: Column) -> Column:
     @F.pandas_udf("kept_text string, n_words long, n_removed long")
-    def keep(texts: pd.Series, begin: pd.Series, end: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_keep(*row) for row in zip(texts, begin, end, strict=True)],
+    def keep(small: pd.Series, begin: pd.Series, end: pd.Series) -> pd.DataFrame:
+        unpress = zstandard.ZstdDecompressor()
+        return pd.DataFrame([_keep(unpress.decompress(w), a, b) for w, a, b in zip(small, begin, end, strict=True)],
                             columns=["kept_text", "n_words", "n_removed"])
 
-    return keep(text, starts, stops)
+    return keep(words, starts, stops)
 
