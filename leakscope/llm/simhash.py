@@ -201,6 +201,18 @@ def links(fps: DataFrame, distance: int = 2, bucket: int = 64) -> DataFrame:
     return met.unionByName(shared)
 
 
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, seed: int, distance: int) -> tuple[DataFrame, DataFrame]:
+    """Rows ``(doc_id, th, fp)``, ``th`` a hash of the text, and ``(fp, root)`` for each fingerprint."""
+    small_batches(docs.sparkSession)
+    text = F.col(text_col)
+    marked = stored(docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("th"),
+                                fingerprint(text, shingle, seed).alias("fp")), "fingerprints")
+    classes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
+    roots = components(links(classes.select("fp"), distance))
+    return marked, classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
+        "root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                     seed: int = 42, distance: int = 2) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` for every row.
@@ -209,15 +221,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Rows of equal fingerprint are one node, so copies cost nothing beyond their own row. Null ids are
     never the least; a component of null ids only has a null one. Blank texts share fingerprint zero.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
-    marked = stored(docs.select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col), shingle, seed).alias("fp")),
-                    "fingerprints")
-    classes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
-    roots = components(links(classes.select("fp"), distance))
-    rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp"))
+    marked, rooted = _grouped(docs, id_col, text_col, shingle, seed, distance)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(least, "root").select("fp", "component_id")
     return marked.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42,
+                distance: int = 2) -> DataFrame:
+    """One whole row of each group of near-duplicates: that of the least id, null ids last, then of the least
+    hash of its text; where rows repeat id and text, one of them."""
+    marked, rooted = _grouped(docs, id_col, text_col, shingle, seed, distance)
+    key = lambda i, th: (F.coalesce(i, F.lit(0)).alias("_i"), i.isNull().alias("_none"), th.alias("_th"))
+    kept = marked.join(rooted.select("fp", "root"), "fp").groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("k")).select(
+        *key(F.col("k.doc_id"), F.col("k.th")))
+    keyed = docs.select("*", *key(F.col(id_col), F.xxhash64(text_col)))
+    return keyed.join(kept, ["_i", "_none", "_th"], "left_semi").dropDuplicates(["_i", "_none", "_th"]).select(*docs.columns)
