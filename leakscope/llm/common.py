@@ -38,6 +38,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct ``row``, so that columns set beside it clash with none of them."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+
+
 def words(text: Column) -> Column:
     """Words of a text as an array; null has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_GAP), "")

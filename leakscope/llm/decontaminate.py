@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leakscope.llm.common import small_batches
+from leakscope.llm.common import small_batches, whole_row
 
 # Bytes of window text one automaton is built from (its nodes take some 50 times as much). A larger
 # benchmark is scanned in several passes, each with the windows of some of the items.
@@ -97,20 +97,20 @@ def _item_batches(benchmark: DataFrame, id_col: str, text_col: str, limit: int)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  item_col: str = "item_id", item_text_col: str = "text", window: int = 13, keep: tuple[str, ...] = (),
+                  item_col: str = "item_id", item_text_col: str = "text", window: int = 13, keep_rows: bool = False,
                   limit: int = AUTOMATON_BYTES) -> DataFrame:
-    """``(doc_id, n_words, n_hit, items, spans, contaminated)`` of every row, and the columns in ``keep``.
+    """``(doc_id, n_words, n_hit, items, spans, contaminated)`` of every row, with ``keep_rows`` the ``row`` too.
 
     ``items`` are the ids, as strings, of items with an occurring window; ``spans`` the hit passages as
     code point ranges of the original text. A text is contaminated if at least one in twenty of its words
     lies in such a passage. Null texts have no words; items without words are never found; a null item
-    id counts as an empty string. Each pass over the documents carries the windows of at most ``limit``
-    bytes of items; rows of several passes are joined by no key but carried along.
+    id counts as an empty string. One automaton holds the windows of at most ``limit`` bytes of items; a
+    larger benchmark takes several, each scanning the text in turn.
     """
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
-    named = [] if id_col in keep else [F.col(id_col).alias("doc_id")]
-    scanned = docs.select(*keep, *named, F.col(text_col).alias("_text"))
+    kept = [whole_row(docs)] if keep_rows else []
+    scanned = docs.select(*kept, F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
     passes = []
     for k, items in enumerate(_item_batches(benchmark, item_col, item_text_col, limit)):
         automaton = spark.sparkContext.broadcast((items, window))
@@ -129,6 +129,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """The rows that are not contaminated, as they are."""
+    return contamination(docs, benchmark, keep_rows=True, **options).filter(~F.col("contaminated")).select("row.*")
+
+
 _built: dict[int, Automaton] = {}
 
 

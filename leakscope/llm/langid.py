@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leakscope.llm.common import small_batches, stored
+from leakscope.llm.common import small_batches, stored, whole_row
 
 UNKNOWN = "und"
 # About so many labelled rows are learned from, chosen by a hash of their id.
@@ -204,3 +204,10 @@ def identify(text: Column, model: Model, spark, ambiguous: float = 0.5) -> Colum
         return pd.DataFrame(rows, columns=["lang_pred", "score", "ambiguous"])
 
     return predict(text)
+
+
+def known_only(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """The rows whose language is told, as they are, by a model learned from them; ``und`` goes."""
+    model = fit(docs, text_col=text_col, **options)
+    told = docs.select(whole_row(docs), identify(F.col(text_col), model, docs.sparkSession).alias("l"))
+    return told.filter(F.col("l.lang_pred") != UNKNOWN).select("row.*")

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leakscope.llm.common import stored
+from leakscope.llm.common import stored, whole_row
 from leakscope.llm.quality import let
 
 KINDS = ("email", "ip", "card", "phone")
@@ -275,12 +275,13 @@ def redact(docs: DataFrame, params: PiiParams | None = None, id_col: str = "doc_
                    F.min("start").alias("start"), F.max("stop").alias("stop"), F.min_by("kind", F.struct("start", "stop", "kind")).alias("kind")))
     per_doc = islands.groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(
         F.sort_array(F.collect_list(F.struct("start", "stop", "kind"))).alias("_cut"))
-    met = docs.join(per_doc, docs[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text_col]) == F.col("_th")), "left")
+    rows = docs.select(whole_row(docs), F.col(id_col).alias("_i"), F.xxhash64(text_col).alias("_h"))
+    met = rows.join(per_doc, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_th")), "left")
     tags = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    text, cut = F.col(text_col), F.col("_cut")
+    text, cut = F.col("row")[text_col], F.col("_cut")
     begun = lambda i: F.coalesce(F.get(cut, i - 1)["stop"], F.lit(0))
     pieces = F.transform(cut, lambda s, i: F.concat(
         F.substring(text, (begun(i) + 1).cast("int"), (s["start"] - begun(i)).cast("int")), F.get(tags, s["kind"])))
     tail = F.substring(text, (F.element_at(cut, -1)["stop"] + 1).cast("int"), F.char_length(text))
     clean = F.when(cut.isNull(), text).otherwise(F.concat(F.array_join(pieces, ""), tail))
-    return met.select(*[clean.alias(c) if c == text_col else docs[c] for c in docs.columns])
+    return met.select(*[(clean if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns])

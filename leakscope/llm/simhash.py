@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leakscope.llm.common import small_batches, stored
+from leakscope.llm.common import small_batches, stored, whole_row
 from leakscope.llm.components import components
 
 BITS = 64
@@ -237,5 +237,5 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kept = marked.join(rooted.select("fp", "root"), "fp").groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("k")).select(
         *key(F.col("k.doc_id"), F.col("k.th")))
-    keyed = docs.select("*", *key(F.col(id_col), F.xxhash64(text_col)))
-    return keyed.join(kept, ["_i", "_none", "_th"], "left_semi").dropDuplicates(["_i", "_none", "_th"]).select(*docs.columns)
+    keyed = docs.select(whole_row(docs), *key(F.col(id_col), F.xxhash64(text_col)))
+    return keyed.join(kept, ["_i", "_none", "_th"], "left_semi").dropDuplicates(["_i", "_none", "_th"]).select("row.*")
