@@ -276,7 +276,8 @@ def redact(docs: DataFrame, params: PiiParams | None = None, id_col: str = "doc_
     per_doc = islands.groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(
         F.sort_array(F.collect_list(F.struct("start", "stop", "kind"))).alias("_cut"))
     rows = docs.select(whole_row(docs), F.col(id_col).alias("_i"), F.xxhash64(text_col).alias("_h"))
-    met = rows.join(per_doc, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_th")), "left")
+    # Merged at every size: the spans of all documents are never broadcast.
+    met = rows.join(per_doc.hint("merge"), F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_th")), "left")
     tags = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     text, cut = F.col("row")[text_col], F.col("_cut")
     begun = lambda i: F.coalesce(F.get(cut, i - 1)["stop"], F.lit(0))
