@@ -500,9 +500,9 @@ def p9_leakage_by_scenario(p: Platform) -> DataFrame:
     return p.published("leakage_by_scenario")
 
 
-def _review_documents(p: Platform) -> DataFrame:
+def _review_documents(p: Platform, limit: int | None = None) -> DataFrame:
     return corpus.review_documents(p.star.reviews(), p.published("orders"), p.published("scores"),
-                                   p.published("leakage_reasons"), p.published("documents"))
+                                   p.published("leakage_reasons"), p.published("documents"), limit)
 
 
 def _leakage_documents(p: Platform) -> DataFrame:
@@ -515,6 +515,12 @@ def p10_review_documents(p: Platform) -> DataFrame:
     return _review_documents(p).drop("metadata")
 
 
+@query
+def t2_top_review_documents(p: Platform) -> DataFrame:
+    """The 200 most telling review documents only."""
+    return _review_documents(p, 200).drop("metadata")
+
+
 @query
 def p10_review_metadata(p: Platform) -> DataFrame:
     meta = F.from_json("metadata", "order_id bigint, rating string, sentiment string, anomaly_flag int, risk_tier string")
@@ -526,6 +532,8 @@ def p11_leakage_documents(p: Platform) -> DataFrame:
     return _leakage_documents(p).drop("metadata")
 
 
+SOURCE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+                 "embeddings", "pages", "benchmark", "labels", "conversations")
 SYNCED = ("customer", "orders", "lineitem", "part", "supplier", "events")
 COLUMN_NOTES = {
     "orders.o_orderstatus": "F, O or P", "lineitem.l_discount": "share 0.0-1.0",
@@ -555,7 +563,7 @@ def p12_schema_sync(p: Platform) -> DataFrame:
 
 @query
 def p13_table_profile(p: Platform) -> DataFrame:
-    return quality.all_checks([quality.column_profile(p.star.raw(t), t) for t in ("customer", "orders", "part", "events")])
+    return quality.all_checks([quality.column_profile(p.star.raw(t), t) for t in SOURCE_TABLES])
 
 
 @query
@@ -612,6 +620,10 @@ def p15_document_history(p: Platform) -> DataFrame:
     return history.select("doc_id", "version", F.length("content").alias("chars"), "changed_by")
 
 
+BATCH_K = 8
+BATCH_PARAMS = cache_jobs.search_params(BATCH_K)
+
+
 def _queries(p: Platform) -> DataFrame:
     """Whole benchmark texts as queries, each with the stored vector of the same number."""
     vectors = p.star.raw("embeddings").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
@@ -624,10 +636,10 @@ def _stored_cache(p: Platform) -> DataFrame:
     if not p.store.exists("retrieval_cache"):
         texts = _queries(p).filter(F.length("query_text") > 200)
         entry = F.array(F.struct(F.col("query_id").alias("doc_id"), F.lit(0.5).alias("hybrid_score")))
+        key = cache_jobs.query_hash(F.col("query_text"), BATCH_PARAMS, F.col("query_vector"))
         age = F.when(F.length("query_text") > 280, F.expr("INTERVAL '-1' HOUR")).otherwise(F.expr("INTERVAL '6' HOUR"))
         p.store.replace("retrieval_cache", texts.select(
-            cache_jobs.query_hash(F.col("query_text")).alias("cache_key"),
-            cache_jobs.query_hash(F.col("query_text")).alias("query_hash"), F.to_json(entry).alias("result_json"),
+            key.alias("cache_key"), key.alias("query_hash"), F.to_json(entry).alias("result_json"),
             F.lit(1).alias("hit_count"), (_as_of() + age).alias("expires_at"),
             (_as_of() - F.expr("INTERVAL '18' HOUR")).alias("created_at")))
     return p.store.read("retrieval_cache")
@@ -641,9 +653,9 @@ def p16_cache_invalidation(p: Platform) -> DataFrame:
 
 def _answer(p: Platform) -> tuple[DataFrame, DataFrame]:
     def run(missing: DataFrame) -> DataFrame:
-        return search.batch_search(p.published("documents"), p.published("embeddings"), missing)
+        return search.batch_search(p.published("documents"), p.published("embeddings"), missing, k=BATCH_K)
 
-    return cache_jobs.answer(_queries(p), _stored_cache(p), run, _as_of())
+    return cache_jobs.answer(_queries(p), _stored_cache(p), run, _as_of(), BATCH_PARAMS)
 
 
 @query
@@ -706,7 +718,7 @@ def p23_integrity_checks(p: Platform) -> DataFrame:
         quality.domain_violations(p.published("shipping"), "shipping_status", "shipping_status"),
         quality.domain_violations(p.star.raw("conversations"), "role", "chat_role"),
         quality.domain_violations(p.published("documents"), "embedding_type", "embedding_type"),
-        quality.domain_violations(p.published("documents"), "content_lang", "sentiment"),
+        quality.domain_violations(p.published("documents"), "content_lang", "content_lang"),
     ])
 
 
@@ -1014,7 +1026,7 @@ def n28_product_revenue(p: Platform) -> DataFrame:
 
 
 def _event_stream(p: Platform) -> DataFrame:
-    return feeds.file_stream(p.spark, p.star.folder, p.star.raw("events").schema, "events.parquet")
+    return feeds.file_stream(p.spark, f"{p.star.folder}/events.parquet", p.star.raw("events").schema)
 
 
 @query
@@ -1049,7 +1061,7 @@ def s2_order_alerts(p: Platform) -> DataFrame:
     root = _scratch(p, "alerts")
     p.published("scores").write.parquet(f"{root}/incoming")
     stream = feeds.file_stream(p.spark, f"{root}/incoming", p.published("scores").schema)
-    return feeds.run_to_table(feeds.order_alerts(stream), f"{root}/out", f"{root}/checkpoint")
+    return feeds.alerts_to_table(feeds.order_alerts(stream), f"{root}/out", f"{root}/checkpoint")
 
 
 @query

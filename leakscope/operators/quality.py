@@ -48,13 +48,19 @@ def all_checks(checks: list[DataFrame]) -> DataFrame:
 
 
 def column_profile(df: DataFrame, table: str) -> DataFrame:
-    """Rows, NULLs, least and greatest value of every plain column, in one pass over the table."""
+    """Rows, NULLs, least and greatest value of every plain column, in one pass over the table.
+
+    Values are compared in their own type and only then shown as text.
+    """
     plain = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("array", "map", "struct")]
+    # Adding zero makes the two zeros of a floating-point column one.
+    value = {f.name: F.col(f.name) + F.lit(0.0) if f.dataType.typeName() == "double" else F.col(f.name)
+             for f in df.schema.fields}
     wide = df.agg(
         F.count("*").alias("_rows"),
         *[F.count(c).alias(f"n_{i}") for i, c in enumerate(plain)],
-        *[F.min(F.col(c).cast("string")).alias(f"lo_{i}") for i, c in enumerate(plain)],
-        *[F.max(F.col(c).cast("string")).alias(f"hi_{i}") for i, c in enumerate(plain)],
+        *[F.min(value[c]).cast("string").alias(f"lo_{i}") for i, c in enumerate(plain)],
+        *[F.max(value[c]).cast("string").alias(f"hi_{i}") for i, c in enumerate(plain)],
     )
     entries = F.array(*[
         F.struct(

@@ -221,15 +221,20 @@ def batch_vector_hits(documents: DataFrame, embeddings: DataFrame, queries: Data
     rows with the block and keeps its best ``k`` per query, which is all that gets shuffled.
     """
     spark = documents.sparkSession
-    vectors = queries.select("query_id", "query_vector").filter(F.col("query_vector").isNotNull())
-    shape = vectors.agg(F.count("*").alias("n"), F.max(F.size("query_vector")).alias("dim")).first()
+    given = queries.select("query_id", "query_vector").filter(F.size("query_vector") > 0)
     id_type = queries.schema["query_id"].dataType.simpleString()
     doc_type = embeddings.schema["doc_id"].dataType.simpleString()
     keep = _searchable(documents, None).select("doc_id", "source_type", "retrieval_weight", "priority")
-    corpus = embeddings.select("doc_id", "embedding").join(keep.select("doc_id"), "doc_id", "left_semi")
-    passes = max(1, math.ceil((shape["n"] or 0) * (shape["dim"] or 1) * 8 / block_bytes))
+    stored = embeddings.select("doc_id", "embedding").join(keep.select("doc_id"), "doc_id", "left_semi")
+    # Vectors of another length or with a NULL in them match nothing; they must not fail the others.
+    whole = lambda c: ~F.exists(c, lambda x: x.isNull())
+    shapes = given.filter(whole("query_vector")).groupBy(F.size("query_vector").alias("dim")).agg(F.count("*").alias("n"))
+    blocks = [(r["dim"], passes, number) for r in shapes.collect()
+              for passes in [max(1, math.ceil(r["n"] * r["dim"] * 8 / block_bytes))] for number in range(passes)]
     found = None
-    for number in range(passes):
+    for dim, passes, number in blocks:
+        vectors = given.filter((F.size("query_vector") == dim) & whole("query_vector"))
+        corpus = stored.filter((F.size("embedding") == dim) & whole("embedding"))
         mine = vectors if passes == 1 else vectors.filter(F.pmod(F.xxhash64("query_id"), F.lit(passes)) == number)
         rows = mine.collect()  # one block, bounded by block_bytes
         if not rows:

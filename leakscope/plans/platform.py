@@ -7,6 +7,8 @@ stay lazy.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,14 @@ PARTITIONED = {
 PUBLISHED = ("payment_summary", "orders", "shipping", "scores", "customers", "sellers", "leakage_reasons", "dashboard",
              "monthly_leakage", "seller_risk", "leakage_by_scenario", "documents", "embeddings")
 VIEWS = ("dashboard", "monthly_leakage", "seller_risk", "leakage_by_scenario")
+# The names that vetted SQL uses.
+VIEW_NAMES = {
+    "dashboard": "mv_leakage_dashboard",
+    "monthly_leakage": "mv_monthly_leakage",
+    "seller_risk": "mv_seller_risk",
+    "leakage_by_scenario": "mv_leakage_by_scenario",
+    "leakage_reasons": "order_leakage_reasons",
+}
 
 
 class Platform:
@@ -36,7 +46,8 @@ class Platform:
         self.spark = spark
         self.params = params
         self.star = Star(spark, folder)
-        label = "".join(ch if ch.isalnum() else "_" for ch in folder)
+        # The whole path counts: two folders never share their tables.
+        label = f"{folder.rstrip('/').rsplit('/', 1)[-1]}-{hashlib.sha256(folder.encode()).hexdigest()[:16]}"
         self.root = root or f"{shared_dir(spark)}/{label}"
         self.store = TableStore(spark, self.root)
         self._published: dict[str, DataFrame] = {}
@@ -60,9 +71,14 @@ class Platform:
         fresh = {}
         for name in VIEWS:
             fresh[name] = self.refresh(name)
-            fresh[name].createOrReplaceTempView(f"mv_{name.removeprefix('mv_')}")
+        self.register_views()
         return fresh
 
+    def register_views(self) -> None:
+        """All published tables as views that SQL can name: the four views under ``mv_``, the others plainly."""
+        for name in PUBLISHED:
+            self.published(name).createOrReplaceTempView(VIEW_NAMES.get(name, name))
+
     # ---- lazily derived, one row per order ------------------------------------------------------
 
     def items(self) -> DataFrame:

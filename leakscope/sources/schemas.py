@@ -151,6 +151,7 @@ ENUMS: dict[str, tuple[str, ...]] = {
     "refund_reason": ("incorrect_refund", "return_request", "early_refund", "late_delivery_compensation",
                       "item_not_as_described", "customer_request"),
     "sentiment": ("positive", "neutral", "negative", "mixed", "unknown"),
+    "content_lang": ("ar", "en", "ar+en", "de", "es", "fr"),
     "risk_tier": ("Low", "Medium", "High", "Critical"),
     "segment": ("Low Value", "Mid Value", "High Value"),
     "churn_risk": ("High", "Medium", "Low"),

@@ -15,7 +15,6 @@ from leakscope.config import DEFAULT_PARAMS
 from leakscope.functions import columns as C
 from leakscope.functions import text as X
 from leakscope.sources.schemas import ENUMS
-from leakscope.sources.tables import deal_out
 
 # Cut-offs that fit the value ranges of the star data; the business defaults never fire on it.
 STAR_PARAMS = replace(
@@ -48,7 +47,7 @@ class Star:
     # ---- commerce ---------------------------------------------------------------------------
 
     def order_items(self) -> DataFrame:
-        line = deal_out(self.raw("lineitem").drop("l_linestatus", "l_shipdate"))
+        line = self.raw("lineitem").drop("l_linestatus", "l_shipdate")
         part = self.raw("part").select(F.col("p_partkey").alias("product_id"), "p_retailprice")
         price = F.col("l_extendedprice").cast("decimal(12,2)")
         discount = F.col("l_discount").cast("decimal(5,3)")
@@ -69,7 +68,7 @@ class Star:
 
     def payments(self) -> DataFrame:
         """One instalment per order line; ``pay_order`` fixes their sequence within the order."""
-        line = deal_out(self.raw("lineitem"))
+        line = self.raw("lineitem")
         tax = F.col("l_tax").cast("decimal(5,3)")
         net = C.price_after_discount(F.col("l_extendedprice").cast("decimal(12,2)"),
                                      F.col("l_discount").cast("decimal(5,3)"))
@@ -200,7 +199,7 @@ class Star:
         )
         rating = _case(F.col("sentiment"), {"positive": "5", "neutral": "3", "negative": "1"})
         minutes = F.make_dt_interval(mins=F.length("review_comment"))
-        return deal_out(long_form.unionByName(turns)).select(
+        return long_form.unionByName(turns).select(
             "review_id", "order_id", "review_comment", "sentiment",
             rating.cast("decimal(3,1)").alias("rating"),
             (F.expr("timestamp_ntz '2001-01-01 00:00:00'") + minutes).alias("review_date"),
@@ -290,7 +289,7 @@ class Star:
                 F.lit("SELECT order_itemsXfinal_price, order_items.final_price FROM reviews r JOIN orders o JOIN payments p JOIN shipping s -- "),
                 key))
         )
-        return deal_out(self.raw("orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")).select(
+        return self.raw("orders").select("o_orderkey", "o_orderpriority", "o_orderstatus").select(
             F.col("o_orderkey").alias("statement_id"), sql.alias("sql_text"))
 
     # ---- retrieval corpus -----------------------------------------------------------------------
@@ -303,7 +302,7 @@ class Star:
         number = F.substring("source", 4, 9).cast("int")
         source_type = F.coalesce(F.get(kinds, number), F.lit("review"))
         docs = (
-            deal_out(self.raw("documents")).join(labels, "doc_id", "left").join(embedded, "doc_id", "left")
+            self.raw("documents").join(labels, "doc_id", "left").join(embedded, "doc_id", "left")
             .withColumn("source_type", source_type)
         )
         return docs.select(

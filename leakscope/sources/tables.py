@@ -9,20 +9,6 @@ from pyspark.sql import functions as F
 from leakscope.sources.schemas import scores_csv_schema, table_schema
 
 
-def deal_out(df: DataFrame) -> DataFrame:
-    """Rows of a small scan spread over all cores before heavy work on each of them.
-
-    A scan below one full split per core comes as fewer tasks than there are cores. Larger inputs,
-    whose scans already fill the cluster, are returned as they are.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    if df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() >= cores * split:
-        return df
-    return df.repartition(cores)
-
-
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A platform table stored as Parquet, with its declared schema."""
     return spark.read.schema(table_schema(name)).parquet(f"{folder}/{name}")

@@ -395,14 +395,14 @@ SELECT 'review' AS source_type, r.order_id::VARCHAR AS source_id, 'Customer Revi
        'ar+en' AS content_lang, 'review' AS embedding_type,
        CASE WHEN m.anomaly_flag = 1 AND r.sentiment = 'negative' THEN 5 WHEN m.anomaly_flag = 1 THEN 4
             WHEN r.sentiment = 'negative' THEN 3 ELSE 2 END AS priority,
-       0.6::DECIMAL(4,2) AS retrieval_weight, r.rating_group, r.sentiment, m.anomaly_flag, m.risk_tier
+       0.6::DECIMAL(4,2) AS retrieval_weight, r.rating_group, r.sentiment, m.anomaly_flag, m.risk_tier,
+       row_number() OVER (ORDER BY coalesce(m.anomaly_flag, 0) DESC,
+         CASE r.sentiment WHEN 'negative' THEN 0 WHEN 'neutral' THEN 1 ELSE 2 END,
+         r.review_date DESC NULLS FIRST, r.review_id) AS place
 FROM revs r JOIN ords o USING (order_id) LEFT JOIN scores m USING (order_id)
 LEFT JOIN (SELECT order_id, string_agg(leakage_type, ', ' ORDER BY leakage_type) AS names FROM reasons GROUP BY 1) x USING (order_id)
 WHERE r.review_comment IS NOT NULL AND length(trim(r.review_comment)) > 10 AND NOT r.is_emoji_only
   AND NOT EXISTS (SELECT 1 FROM docs d WHERE d.source_type = 'review' AND d.source_id = r.order_id::VARCHAR)
-ORDER BY coalesce(m.anomaly_flag, 0) DESC, CASE r.sentiment WHEN 'negative' THEN 0 WHEN 'neutral' THEN 1 ELSE 2 END,
-         r.review_date DESC NULLS FIRST, r.review_id
-LIMIT 30000
 """
 
 CTES["leakdocs"] = """

@@ -235,6 +235,7 @@ S["p9_leakage_by_scenario"] = "SELECT * FROM byscenario"
 _DOC = """source_type, source_id, title, content, content_lang, embedding_type, priority,
   retrieval_weight::DOUBLE AS retrieval_weight"""
 S["p10_review_documents"] = f"SELECT {_DOC} FROM revdocs"
+S["t2_top_review_documents"] = f"SELECT {_DOC} FROM revdocs WHERE place <= 200"
 S["p10_review_metadata"] = """
 SELECT source_id::BIGINT AS order_id, rating_group AS rating, sentiment, coalesce(anomaly_flag, 0) AS anomaly_flag,
   risk_tier FROM revdocs"""
@@ -253,24 +254,33 @@ SELECT table_name AS source_id, 'Auto-synced schema: ' || table_name || chr(10)
 UNION ALL SELECT source_type, '', count(*)::INTEGER FROM docs GROUP BY 1"""
 
 
-def _profile(table: str, columns: dict[str, str]) -> str:
-    parts = [
-        f"SELECT '{table}' AS table_name, count(*) AS n_rows, '{c}' AS column_name, count(*) - count({c}) AS nulls, "
-        f"min({as_text}) AS least, max({as_text}) AS greatest FROM {table}"
-        for c, as_text in columns.items()]
+def _profile(table: str, columns: str) -> str:
+    """A column with ``*`` is a double: adding zero makes its two zeros one."""
+    parts = []
+    for c in columns.split():
+        name, value = c.rstrip("*"), c.replace("*", " + 0.0::DOUBLE")
+        parts.append(
+            f"SELECT '{table}' AS table_name, count(*) AS n_rows, '{name}' AS column_name, count(*) - count({name}) AS nulls, "
+            f"min({value})::VARCHAR AS least, max({value})::VARCHAR AS greatest FROM {table}")
     return "\nUNION ALL ".join(parts)
 
 
-def _text(c: str) -> str:
-    return f"{c}::VARCHAR"
-
-
 S["p13_table_profile"] = "\nUNION ALL ".join([
-    _profile("customer", {c: _text(c) for c in ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")}),
-    _profile("orders", {c: _text(c) for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
-                                              "o_orderpriority")}),
-    _profile("part", {c: _text(c) for c in ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")}),
-    _profile("events", {c: _text(c) for c in ("event_id", "ts", "user_id", "event_type", "value", "props")}),
+    _profile("region", "r_regionkey r_name"),
+    _profile("nation", "n_nationkey n_name n_regionkey"),
+    _profile("customer", "c_custkey c_name c_nationkey c_acctbal* c_mktsegment"),
+    _profile("supplier", "s_suppkey s_name s_nationkey s_acctbal*"),
+    _profile("part", "p_partkey p_name p_brand p_type p_size p_retailprice*"),
+    _profile("orders", "o_orderkey o_custkey o_orderstatus o_totalprice* o_orderdate o_orderpriority"),
+    _profile("lineitem", "l_orderkey l_partkey l_suppkey l_linenumber l_quantity* l_extendedprice* l_discount* l_tax* "
+                         "l_returnflag l_linestatus l_shipdate"),
+    _profile("events", "event_id ts user_id event_type value* props"),
+    _profile("documents", "doc_id text lang source n_chars"),
+    _profile("embeddings", "vec_id label"),
+    _profile("pages", "page_id url html"),
+    _profile("benchmark", "item_id text"),
+    _profile("labels", "doc_id quality toxic"),
+    _profile("conversations", "conv_id turn role text"),
 ])
 _COLLECTION = """CASE embedding_type WHEN 'business_rule' THEN 'business' WHEN 'metric' THEN 'metrics'
   WHEN 'glossary' THEN 'metrics' WHEN 'lineage' THEN 'metrics' WHEN 'review' THEN 'review' ELSE 'schema' END"""
@@ -287,8 +297,11 @@ FROM docs LEFT JOIN labels USING (doc_id)"""
 S["p15_document_history"] = """
 SELECT doc_id, 1 AS version, length(content)::INTEGER AS chars, 'system' AS changed_by
 FROM docs JOIN labels USING (doc_id) WHERE quality = 1"""
-S["p16_cache_invalidation"] = """
-SELECT sha256(text || '|') AS query_hash, '[{"doc_id":' || item_id || ',"hybrid_score":0.5}]' AS result_json, 1 AS hit_count
+# Text, search settings and the query vector in millionths.
+_KEY = """sha256(concat_ws('|', text, 'k=8;types=', coalesce((SELECT array_to_string(list_transform(v.embedding,
+  lambda x: round(x::DOUBLE * 1000000)::BIGINT), ',') FROM embeddings v WHERE v.vec_id = item_id), '')))"""
+S["p16_cache_invalidation"] = f"""
+SELECT {_KEY} AS query_hash, '[{{"doc_id":' || item_id || ',"hybrid_score":0.5}}]' AS result_json, 1 AS hit_count
 FROM benchmark WHERE length(text) > 200 AND length(text) <= 280
   AND item_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)"""
 S["p17_answered_queries"] = """
@@ -296,8 +309,8 @@ SELECT b.item_id AS query_id, length(text) > 200 AND length(text) <= 280 AS from
   CASE WHEN length(text) > 200 AND length(text) <= 280 THEN b.item_id::VARCHAR
        ELSE coalesce((SELECT string_agg(doc_id, '|' ORDER BY rank) FROM batch h WHERE h.query_id = b.item_id), '') END AS doc_ids
 FROM benchmark b"""
-S["p17_cache_after"] = """
-WITH k AS (SELECT DISTINCT sha256(text || '|') AS query_hash, length(text) AS n FROM benchmark)
+S["p17_cache_after"] = f"""
+WITH k AS (SELECT DISTINCT {_KEY} AS query_hash, length(text) AS n FROM benchmark)
 SELECT query_hash, CASE WHEN n > 280 THEN 2 ELSE 1 END AS hit_count,
   CASE WHEN n > 200 AND n <= 280 THEN '2025-01-01 06:00:00' ELSE '2025-01-02 00:00:00' END AS expires_at,
   CASE WHEN n > 200 THEN '2024-12-31 06:00:00' ELSE '2025-01-01 00:00:00' END AS created_at FROM k"""
@@ -327,7 +340,7 @@ UNION ALL SELECT 'domain order_status', (SELECT count(*) FROM ords WHERE order_s
 UNION ALL SELECT 'domain shipping_status', (SELECT count(*) FROM ship WHERE shipping_status NOT IN ('delivered', 'in_transit', 'cancelled', 'failed', 'never_shipped', 'pending'))
 UNION ALL SELECT 'domain role', (SELECT count(*) FROM conversations WHERE role NOT IN ('system', 'user', 'assistant', 'tool'))
 UNION ALL SELECT 'domain embedding_type', (SELECT count(*) FROM docs WHERE embedding_type NOT IN ('schema', 'business_rule', 'sql_template', 'review', 'metric', 'routing', 'glossary', 'lineage'))
-UNION ALL SELECT 'domain content_lang', (SELECT count(*) FROM docs WHERE content_lang IS NOT NULL)"""
+UNION ALL SELECT 'domain content_lang', (SELECT count(*) FROM docs WHERE content_lang NOT IN ('ar', 'en', 'ar+en', 'de', 'es', 'fr'))"""
 
 _ATTR = "source_type, retrieval_weight::DOUBLE AS retrieval_weight, priority"
 S["f17_cover_rank"] = "SELECT doc_id, bm25_score AS rank FROM kwscores"

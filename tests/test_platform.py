@@ -86,3 +86,23 @@ def test_fitted_scores_repeat_under_another_layout(scored):
     df, rows = scored
     again = fitted_scores(df.repartition(13), "k", ["a", "b"], trees=30, contamination=0.02).collect()
     assert {r.k: r.if_score for r in again} == {r.k: r.if_score for r in rows}
+
+
+def test_profile_compares_values_in_their_own_type(spark):
+    from leakscope.operators import quality
+
+    table = spark.createDataFrame([(9, 100.5, "b"), (1499, 99.25, None)], "k int, price double, t string")
+    got = {r.column_name: (r.least, r.greatest, r.nulls) for r in quality.column_profile(table, "t").collect()}
+    assert got == {"k": ("9", "1499", 0), "price": ("99.25", "100.5", 0), "t": ("b", "b", 1)}
+
+
+def test_folders_of_like_names_have_tables_of_their_own(spark):
+    from leakscope.plans.platform import Platform
+
+    assert Platform(spark, "/data/a-b").root != Platform(spark, "/data/a_b").root
+
+
+def test_published_tables_have_names_in_sql(spark, plat):
+    plat.register_views()
+    assert spark.sql("SELECT count(*) FROM mv_leakage_dashboard").first()[0] == plat.published("dashboard").count()
+    assert spark.sql("SELECT count(*) FROM order_leakage_reasons r JOIN orders o USING (order_id)").first()[0] > 0

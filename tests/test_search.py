@@ -136,3 +136,15 @@ def test_ivf_recall_and_exactness(corpus):
         hit += len(set(want) & set(ids(ivf.probe_search(celled, centres, vecs[probe], 10, probes=5))))
         total += 10
     assert hit / total > 0.8
+
+
+def test_vectors_of_another_shape_do_not_fail_a_batch(spark):
+    from leakscope.operators import search
+
+    docs = spark.createDataFrame([(i, "t", True, 1, 1.0) for i in (1, 2, 3)],
+                                 "doc_id bigint, source_type string, is_active boolean, priority int, retrieval_weight double")
+    vectors = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.0, 0.0]), (3, [None, 1.0])], "doc_id bigint, embedding array<double>")
+    asked = spark.createDataFrame([(7, [1.0, 0.0]), (8, [1.0]), (9, [None, 0.0]), (10, None), (11, [0.0, 1.0, 0.0])],
+                                  "query_id int, query_vector array<double>")
+    got = search.batch_vector_hits(docs, vectors, asked, 5).select("query_id", "doc_id").collect()
+    assert sorted(map(tuple, got)) == [(7, 1), (11, 2)]
