@@ -4,11 +4,13 @@ Both tokenizers used here look at a text one pre-token at a time, and a single s
 characters that are not white space always starts a new pre-token. So ids of a text are the ids of its
 pieces, each with its leading space, one after the other. Most pieces of a batch were met before; only
 new ones go through the library. Texts in which a space stands beside other white space, or at an end,
-go through it whole.
+go through it whole. A tokenizer that lower-cases and drops white space gives no ids for the space itself,
+so there any space or line feed is a cut, and pieces that differ in ASCII case only are one.
 """
 
 from __future__ import annotations
 
+import json
 import os
 
 import numpy as np
@@ -46,8 +48,15 @@ class TokenIds:
         special = [t for t in self.splitter.get_added_tokens_decoder().items() if t[1].special]
         self.mark_id, mark = special[-1]
         self.mark = mark.content
+        self.folds = self._drops_case_and_space()
         self._reset()
 
+    def _drops_case_and_space(self) -> bool:
+        step = json.loads(self.tokenizer.to_str())["normalizer"] or {}
+        lower = any(s.get("type") == "Lowercase" for s in step.get("normalizers", [step]))
+        ids = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
+        return lower and ids(" \n\t ") == [] and ids("A.\n 9") == ids("a. 9") == [*ids("a."), *ids("9")]
+
     def _reset(self) -> None:
         self.pieces = pa.array([], pa.large_string())
         self.lengths = np.zeros(0, np.int64)
@@ -108,6 +117,8 @@ class TokenIds:
         return out
 
     def _slab(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        if self.folds:
+            texts = pc.ascii_lower(pc.replace_substring(texts, "\n", " "))
         spaced = pc.split_pattern(texts, " ")
         per_text = pc.list_value_length(spaced).to_numpy(zero_copy_only=False).astype(np.int64)
         values = spaced.flatten()
@@ -116,6 +127,8 @@ class TokenIds:
         # A piece that is empty, or has white space at an end, stood beside another white space.
         loose = pc.or_(pc.not_equal(pc.utf8_trim_whitespace(coded.dictionary), coded.dictionary),
                        pc.equal(coded.dictionary, "")).to_numpy(zero_copy_only=False)
+        if self.folds:
+            loose = np.zeros(len(loose), bool)
         ends = np.cumsum(per_text)
         odd = np.add.reduceat(loose[codes], ends - per_text) > 0 if len(codes) else np.zeros(0, bool)
         lead = np.zeros(len(codes), bool)
