@@ -932,6 +932,12 @@ def n12_high_risk_sellers(p: Platform) -> DataFrame:
     return N.high_risk_sellers(p.published("seller_risk"))
 
 
+@query
+def n12_high_risk_scored(p: Platform) -> DataFrame:
+    """With the third condition, a mean anomaly score above 0.65."""
+    return N.high_risk_sellers(p.published("seller_risk"), scored=True)
+
+
 @query
 def n13_fee_outliers(p: Platform) -> DataFrame:
     return N.fee_outliers(p.published("shipping"), p.params)

@@ -16,7 +16,7 @@ from leakscope.functions import columns as C
 
 RATE_HIGH_PCT = 30.0
 RETURN_RATE_HIGH = "0.15"
-SCORE_HIGH = 0.65
+SCORE_HIGH = "0.65"
 
 
 def leakage_overview(dash: DataFrame) -> DataFrame:
@@ -143,10 +143,12 @@ def valuable_customers_leaking(customers: DataFrame, dash: DataFrame) -> DataFra
     return at_risk.join(leaks, "customer_id").orderBy(F.desc("lifetime_value"), "customer_id")
 
 
-def high_risk_sellers(sellers: DataFrame) -> DataFrame:
-    return sellers.filter(
-        (F.col("leakage_rate_pct") > RATE_HIGH_PCT) & (F.col("return_rate") > C.dec(RETURN_RATE_HIGH))
-    ).orderBy(F.desc("avg_anomaly_score"), "seller_id")
+def high_risk_sellers(sellers: DataFrame, scored: bool = False) -> DataFrame:
+    """Sellers with high leakage and return rates; ``scored`` asks for a high mean anomaly score as well."""
+    risky = (F.col("leakage_rate_pct") > RATE_HIGH_PCT) & (F.col("return_rate") > C.dec(RETURN_RATE_HIGH))
+    if scored:
+        risky = risky & (F.col("avg_anomaly_score") > C.dec(SCORE_HIGH))
+    return sellers.filter(risky).orderBy(F.desc("avg_anomaly_score"), "seller_id")
 
 
 def fee_outliers(shipping: DataFrame, params: RuleParams = DEFAULT_PARAMS) -> DataFrame:
@@ -266,6 +268,8 @@ def retrieval_quality(log: DataFrame) -> DataFrame:
         C.rate_pct(F.count("execution_error"), F.count("*")).alias("error_rate_pct"),
         C.rate_pct(F.count_if("hallucination_flag"), F.count("*")).alias("hallucination_rate_pct"),
         C.mean(F.col("latency_ms")).alias("avg_latency_ms"),
+        F.percentile("latency_ms", 0.5).alias("p50_latency_ms"),
+        F.percentile("latency_ms", 0.95).alias("p95_latency_ms"),
         F.max("latency_ms").alias("max_latency_ms"))
 
 

@@ -323,7 +323,8 @@ S["p21_retrieval_quality"] = """
 SELECT event_type AS query_intent, count(*) AS queries,
   100::DOUBLE * count(*) FILTER (WHERE (props::JSON->>'k')::INTEGER > 90) / count(*) AS error_rate_pct,
   100::DOUBLE * count(*) FILTER (WHERE (props::JSON->>'k')::INTEGER < 5) / count(*) AS hallucination_rate_pct,
-  sum(trunc(value * 10)::INTEGER)::DOUBLE / count(*) AS avg_latency_ms, max(trunc(value * 10)::INTEGER) AS max_latency_ms
+  sum(trunc(value * 10)::INTEGER)::DOUBLE / count(*) AS avg_latency_ms, quantile_cont(trunc(value * 10)::INTEGER, 0.5) AS p50_latency_ms,
+  quantile_cont(trunc(value * 10)::INTEGER, 0.95) AS p95_latency_ms, max(trunc(value * 10)::INTEGER) AS max_latency_ms
 FROM events GROUP BY 1"""
 S["p22_intents"] = f"""
 SELECT event_id AS id, {_INTENT} AS intent, CASE event_type WHEN 'click' THEN 'mv_leakage_dashboard'
@@ -478,6 +479,8 @@ FROM custs c JOIN dash d ON c.customer_id = d.customer_id
 WHERE c.segment = 'High Value' AND c.churn_risk = 'High' AND d.anomaly_flag = 1 GROUP BY 1, 2, 3"""
 S["n12_high_risk_sellers"] = """
 SELECT * FROM sellrisk WHERE leakage_rate_pct > 30 AND return_rate > 0.15"""
+S["n12_high_risk_scored"] = """
+SELECT * FROM sellrisk WHERE leakage_rate_pct > 30 AND return_rate > 0.15 AND avg_anomaly_score > 0.65"""
 S["n13_fee_outliers"] = """
 SELECT order_id, shipping_fee_charged::DOUBLE AS shipping_fee_charged, actual_logistics_cost::DOUBLE AS actual_logistics_cost,
   fee_to_cost_ratio::DOUBLE AS fee_to_cost_ratio FROM ship WHERE fee_to_cost_ratio > 2.0 OR fee_to_cost_ratio < 0.5"""
