@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leakscope.llm.common import small_batches, whole_row
+from leakscope.llm.common import small_batches, stored, whole_row
 
 # Bytes of window text one automaton is built from (its nodes take some 50 times as much). A larger
 # benchmark is scanned in several passes, each with the windows of some of the items.
@@ -80,20 +80,20 @@ def _original(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(int(heads[places[a][0]]) - 1, int(heads[places[b - 1][1] - 1])) for a, b in spans]
 
 
-def _item_batches(benchmark: DataFrame, id_col: str, text_col: str, limit: int) -> list[list[tuple[str, str]]]:
+def _item_batches(benchmark: DataFrame, id_col: str, text_col: str, limit: int) -> Iterator[list[tuple[str, str]]]:
     """Items in batches whose windows stay within ``limit`` bytes, read one after the other."""
     items = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"),
                              F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    out: list[list[tuple[str, str]]] = [[]]
+    batch: list[tuple[str, str]] = []
     held = 0
     for item, text in items.toLocalIterator():
         size = 13 * len(text.encode())
         if held and held + size > limit:
-            out.append([])
-            held = 0
-        out[-1].append((item, text))
+            yield batch
+            batch, held = [], 0
+        batch.append((item, text))
         held += size
-    return out
+    yield batch
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -105,7 +105,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     code point ranges of the original text. A text is contaminated if at least one in twenty of its words
     lies in such a passage. Null texts have no words; items without words are never found; a null item
     id counts as an empty string. One automaton holds the windows of at most ``limit`` bytes of items; a
-    larger benchmark takes several, each scanning the text in turn.
+    larger benchmark takes several, each in a job of its own over the rows kept in the shared folder, so that
+    driver and workers hold one at a time.
     """
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
@@ -113,6 +114,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     scanned = docs.select(*kept, F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
     passes = []
     for k, items in enumerate(_item_batches(benchmark, item_col, item_text_col, limit)):
+        if k:
+            scanned = stored(scanned, "scanned")
         automaton = spark.sparkContext.broadcast((items, window))
         scanned = scanned.withColumn(f"_scan{k}", _scan(automaton)(F.col("_text")))
         passes.append(f"_scan{k}")
@@ -134,16 +137,15 @@ def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     return contamination(docs, benchmark, keep_rows=True, **options).filter(~F.col("contaminated")).select("row.*")
 
 
-_built: dict[int, Automaton] = {}
+_last: list = []  # the items last seen by this worker process, and their automaton
 
 
 def _automaton(shared) -> Automaton:
     """The automaton of a broadcast item batch, built once per worker process."""
     items, window = shared.value
-    key = id(items)
-    if key not in _built:
-        _built[key] = Automaton(items, window)
-    return _built[key]
+    if not _last or _last[0] is not items:
+        _last[:] = [items, Automaton(items, window)]
+    return _last[1]
 
 
 def _scan(shared):
