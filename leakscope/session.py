@@ -10,7 +10,7 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 # Text and token columns are several times larger in memory than on disk. Without this the planner
 # takes a corpus scan for small and broadcasts it; adaptive execution still broadcasts what proves small.
 SIZE_FACTOR = ("spark.sql.sources.fileCompressionFactor", "8.0")
-# Visits of a user merge inside each task before the shuffle, so a very busy user arrives small.
+# Streamed visits of a user merge inside each task before the shuffle, so a very busy user arrives small.
 MERGE_SESSIONS = ("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
 
 _local_scratch: dict[str, str] = {}
@@ -71,9 +71,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def tune(spark: SparkSession) -> None:
     """Apply the settings results and plans rely on to a session made elsewhere.
 
-    Calendar and window results are defined in UTC. The two plan settings yield to the owner's choice.
+    Calendar and window results are defined in UTC. Merging of streamed visits yields to the owner's choice;
+    settings that steer other jobs' plans are left alone.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    for (name, value), default in ((SIZE_FACTOR, "1.0"), (MERGE_SESSIONS, "false")):
-        if spark.conf.get(name, default) == default:
-            spark.conf.set(name, value)
+    name, value = MERGE_SESSIONS
+    if spark.conf.get(name, "false") == "false":
+        spark.conf.set(name, value)

@@ -28,9 +28,9 @@ def test_tune_fits_a_session_made_elsewhere(spark):
     from leakscope import session
 
     other = spark.newSession()
-    for name, _ in (session.SIZE_FACTOR, session.MERGE_SESSIONS):
-        other.conf.unset(name)
+    other.conf.set(session.SIZE_FACTOR[0], "1.0")
+    other.conf.unset(session.MERGE_SESSIONS[0])
     session.tune(other)
-    assert [other.conf.get(n) for n, _ in (session.SIZE_FACTOR, session.MERGE_SESSIONS)] == [
-        session.SIZE_FACTOR[1], session.MERGE_SESSIONS[1]]
+    assert other.conf.get(session.MERGE_SESSIONS[0]) == session.MERGE_SESSIONS[1]
+    assert other.conf.get(session.SIZE_FACTOR[0]) == "1.0"  # plans of other jobs stay as their owner has them
     assert other.conf.get("spark.sql.session.timeZone") == "UTC"
