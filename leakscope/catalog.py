@@ -17,7 +17,7 @@ from leakscope.functions import columns as C
 from leakscope.functions import text as X
 from leakscope.functions.present import flat
 from leakscope.functions.vectors import cosine
-from leakscope.operators import guard, ivf, keyed, quality, ranking, search
+from leakscope.operators import guard, ivf, keyed, quality, ranking, search, vector_blocks
 from leakscope.operators.anomaly import fitted_scores
 from leakscope.plans import analytics as N
 from leakscope.plans import cache as cache_jobs
@@ -620,6 +620,13 @@ def p15_document_history(p: Platform) -> DataFrame:
     return history.select("doc_id", "version", F.length("content").alias("chars"), "changed_by")
 
 
+@query
+def w6_version_rows(p: Platform) -> DataFrame:
+    """Version rows per document, archived ones included, and whether at most one of them is active."""
+    current, history = corpus.apply_changes(p.published("documents"), _changes(p), _as_of())
+    return corpus.version_check(current, history)
+
+
 BATCH_K = 8
 BATCH_PARAMS = cache_jobs.search_params(BATCH_K)
 
@@ -700,7 +707,7 @@ def p21_retrieval_quality(p: Platform) -> DataFrame:
 @query
 def p22_intents(p: Platform) -> DataFrame:
     log = p.star.query_log().withColumn("intent", guard.intent(F.col("user_question")))
-    return log.select("id", "intent", guard.intent_source(F.col("intent")).alias("answered_from"))
+    return log.select("id", "intent", F.array_join(guard.intent_sources(F.col("intent")), ", ").alias("answered_from"))
 
 
 @query
@@ -776,32 +783,62 @@ def h8_unweighted_search(p: Platform) -> DataFrame:
     return search.unweighted_search(p.published("documents"), p.published("embeddings"), SEARCH_TEXT, _probe_vector(p))
 
 
+def _asked(celled: DataFrame, remainder: int) -> DataFrame:
+    """One in fifty vectors as queries."""
+    return celled.filter(F.col("doc_id") % 50 == remainder).select(
+        F.col("doc_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+
+
 def _celled(p: Platform):
+    """Stored cells, their centres, and the probes that find 95 % of ten neighbours of some of the vectors."""
     key = "ivf"
     if not hasattr(p, "_ivf"):
-        celled, centres = ivf.build_cells(p.published("embeddings"), cells=16)
-        p._ivf = (p.store.replace(key, celled, ["cell"]), centres)
+        celled, centres = ivf.build_cells(p.published("embeddings"))
+        celled = p.store.replace(key, celled, ["cell"])
+        p._ivf = (celled, centres, ivf.probes_for(celled, centres, _asked(celled, 25), 10))
     return p._ivf
 
 
 @query
 def h9_ivf_search(p: Platform) -> DataFrame:
-    celled, centres = _celled(p)
-    return ivf.probe_search(celled, centres, _probe_vector(p), 10, probes=4)
+    celled, centres, probes = _celled(p)
+    return ivf.probe_search(celled, centres, _probe_vector(p), 10, probes)
 
 
 @query
 def h9_ivf_all_cells(p: Platform) -> DataFrame:
     """All cells probed: must equal the exact search."""
-    celled, centres = _celled(p)
+    celled, centres, _ = _celled(p)
     return ivf.probe_search(celled, centres, _probe_vector(p), 10, probes=len(centres))
 
 
+@query
+def h9_ivf_recall(p: Platform) -> DataFrame:
+    """Every vector whose id is divisible by 50, its ten nearest among all: are nine in ten found?
+
+    The probes were chosen by other vectors.
+    """
+    celled, centres, probes = _celled(p)
+    asked = _asked(celled, 0)
+    got = ivf.recall(ivf.probe_batch(celled, centres, asked, 10, probes), vector_blocks.exact_matches(celled, asked, 10))
+    return got.select("neighbours", (F.col("found") >= 0.9 * F.col("neighbours")).alias("reached"))
+
+
 @query
 def h10_batch_search(p: Platform) -> DataFrame:
     return search.batch_search(p.published("documents"), p.published("embeddings"), _queries(p))
 
 
+@query
+def h10_batch_analytics(p: Platform) -> DataFrame:
+    return search.batch_search_analytics(p.published("documents"), p.published("embeddings"), _queries(p))
+
+
+@query
+def h10_batch_reviews(p: Platform) -> DataFrame:
+    return search.batch_search_reviews(p.published("documents"), p.published("embeddings"), _queries(p))
+
+
 @query
 def h10_batch_keyword(p: Platform) -> DataFrame:
     return search.batch_keyword_hits(p.published("documents"), _queries(p), 24)

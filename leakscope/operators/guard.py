@@ -51,11 +51,14 @@ INTENT_WORDS: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("sentiment_analysis", ("تقييم", "رأي", "شكوى", "review", "sentiment", "feedback")),
     ("schema_discovery", ("جدول", "عمود", "schema", "table", "column")),
 )
-# Where each intent is answered from.
+# The sources each intent is answered from.
 INTENT_SOURCES = {
-    "simple_lookup": "mv_leakage_dashboard", "aggregation": "mv_leakage_by_scenario",
-    "trend_analysis": "mv_monthly_leakage", "anomaly_investigation": "order_leakage_reasons",
-    "sentiment_analysis": "ecommerce.reviews", "schema_discovery": "rag.documents",
+    "simple_lookup": ("mv_leakage_dashboard",),
+    "aggregation": ("mv_monthly_leakage", "mv_leakage_by_scenario", "mv_seller_risk"),
+    "trend_analysis": ("mv_monthly_leakage",),
+    "anomaly_investigation": ("mv_leakage_dashboard", "order_leakage_reasons"),
+    "sentiment_analysis": ("ecommerce.reviews",),
+    "schema_discovery": ("rag.documents",),
 }
 
 
@@ -110,8 +113,7 @@ def intent(question: Column) -> Column:
     return out
 
 
-def intent_source(intent_col: Column) -> Column:
-    out: Column | None = None
-    for name, source in INTENT_SOURCES.items():
-        out = F.when(intent_col == name, source) if out is None else out.when(intent_col == name, source)
-    return out
+def intent_sources(intent_col: Column) -> Column:
+    """Sources an intent is answered from, as an array; NULL for an unknown one."""
+    pairs = [c for name, sources in INTENT_SOURCES.items() for c in (F.lit(name), F.array(*map(F.lit, sources)))]
+    return F.try_element_at(F.create_map(*pairs), intent_col)

@@ -2,32 +2,28 @@
 
 ``documents`` carries ``content_tsv``, the stored lexeme list; ``embeddings`` has one vector per
 document. A single query is a scan with a top-k per leg. A batch finds its keyword candidates by
-each query's rarest term and its vector hits by block products with a bounded top-k per task.
+each query's rarest term and its vector hits by block products with a bounded top-k per task. Where the
+vector table has the document's ``source_type`` (it is stored partitioned by it), a search for some types
+reads only theirs.
 """
 
 from __future__ import annotations
 
-import math
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leakscope.functions import text as X
 from leakscope.functions.vectors import cosine_scores
+from leakscope.operators import vector_blocks
 from leakscope.operators.ranking import top_per_group
 
 VECTOR_WEIGHT = 0.6
 KEYWORD_WEIGHT = 0.4
 OVER_FETCH = 3
 PER_TYPE_CAP = 2
-# Query vectors are shipped to every task; beyond this many bytes a batch runs in several passes.
-QUERY_BLOCK_BYTES = 4 << 20
-# Scores a task holds at a time: queries of the block times corpus rows.
-SCORE_CELLS = 4_000_000
 
 # The source types the analytics search looks at.
 ANALYTICS_TYPES = (
@@ -54,6 +50,13 @@ def _searchable(documents: DataFrame, types: Sequence[str] | None) -> DataFrame:
     return active if types is None else active.filter(F.col("source_type").isin(list(types)))
 
 
+def _vectors_of(embeddings: DataFrame, types: Sequence[str] | None) -> DataFrame:
+    """Vectors that documents of these types can have; others are not read."""
+    if types is None or "source_type" not in embeddings.columns:
+        return embeddings
+    return embeddings.filter(F.col("source_type").isin(list(types)))
+
+
 def keyword_hits(documents: DataFrame, query: str, k: int, types: Sequence[str] | None = None) -> DataFrame:
     """The best ``k`` active documents that hold all raw terms or all stems, by cover density."""
     raw, stemmed = query_terms(query)
@@ -71,7 +74,7 @@ def vector_hits(documents: DataFrame, embeddings: DataFrame, vector: Sequence[fl
                 types: Sequence[str] | None = None) -> DataFrame:
     """The ``k`` active documents whose vectors are closest in cosine; all of them for ``k=None``."""
     keep = _searchable(documents, types).select("doc_id", "source_type", "retrieval_weight", "priority")
-    scored = cosine_scores(embeddings, vector)
+    scored = cosine_scores(_vectors_of(embeddings, types), vector)
     hits = scored.join(keep, "doc_id")
     if k is None:
         return hits
@@ -172,7 +175,7 @@ def unweighted_search(documents: DataFrame, embeddings: DataFrame, query: str, v
 # ---- many queries at once --------------------------------------------------------------------------
 
 
-def batch_keyword_hits(documents: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+def batch_keyword_hits(documents: DataFrame, queries: DataFrame, k: int, types: Sequence[str] | None = None) -> DataFrame:
     """Best ``k`` keyword matches of every (query_id, query_text).
 
     A match must hold all terms, so it holds the query's rarest term. Only documents with that term
@@ -185,7 +188,7 @@ def batch_keyword_hits(documents: DataFrame, queries: DataFrame, k: int) -> Data
     )
     terms = q.select("query_id", F.lit("raw").alias("kind"), F.explode("raw").alias("term")).unionByName(
         q.select("query_id", F.lit("stem").alias("kind"), F.explode("stem").alias("term")))
-    words = _searchable(documents, None).select("doc_id", F.explode(F.array_distinct("content_tsv")).alias("term"))
+    words = _searchable(documents, types).select("doc_id", F.explode(F.array_distinct("content_tsv")).alias("term"))
     frequency = words.join(terms.select("term").distinct(), "term", "left_semi").groupBy("term").agg(
         F.count("*").alias("df"))
     rarest = (
@@ -213,86 +216,39 @@ def batch_keyword_hits(documents: DataFrame, queries: DataFrame, k: int) -> Data
 
 
 def batch_vector_hits(documents: DataFrame, embeddings: DataFrame, queries: DataFrame, k: int,
-                      block_bytes: int = QUERY_BLOCK_BYTES) -> DataFrame:
+                      types: Sequence[str] | None = None) -> DataFrame:
     """Best ``k`` cosine matches of every (query_id, query_vector).
 
-    Query vectors are fetched in blocks of at most ``block_bytes``, so the broadcast stays bounded
-    however many queries there are; each block is one pass over the corpus. A task multiplies its
-    rows with the block and keeps its best ``k`` per query, which is all that gets shuffled.
+    Vectors of another length or with a NULL in them match nothing; they do not fail the others.
     """
-    spark = documents.sparkSession
-    given = queries.select("query_id", "query_vector").filter(F.size("query_vector") > 0)
-    id_type = queries.schema["query_id"].dataType.simpleString()
-    doc_type = embeddings.schema["doc_id"].dataType.simpleString()
-    keep = _searchable(documents, None).select("doc_id", "source_type", "retrieval_weight", "priority")
-    stored = embeddings.select("doc_id", "embedding").join(keep.select("doc_id"), "doc_id", "left_semi")
-    # Vectors of another length or with a NULL in them match nothing; they must not fail the others.
-    whole = lambda c: ~F.exists(c, lambda x: x.isNull())
-    shapes = given.filter(whole("query_vector")).groupBy(F.size("query_vector").alias("dim")).agg(F.count("*").alias("n"))
-    blocks = [(r["dim"], passes, number) for r in shapes.collect()
-              for passes in [max(1, math.ceil(r["n"] * r["dim"] * 8 / block_bytes))] for number in range(passes)]
-    found = None
-    for dim, passes, number in blocks:
-        vectors = given.filter((F.size("query_vector") == dim) & whole("query_vector"))
-        corpus = stored.filter((F.size("embedding") == dim) & whole("embedding"))
-        mine = vectors if passes == 1 else vectors.filter(F.pmod(F.xxhash64("query_id"), F.lit(passes)) == number)
-        rows = mine.collect()  # one block, bounded by block_bytes
-        if not rows:
-            continue
-        block = np.array([r["query_vector"] for r in rows], dtype="float64")
-        norms = np.linalg.norm(block, axis=1, keepdims=True)
-        shared = spark.sparkContext.broadcast(
-            ([r["query_id"] for r in rows], block / np.where(norms > 0, norms, 1.0), norms[:, 0] > 0))
-
-        def best(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            ids, unit, usable = shared.value
-            chunk = max(1, SCORE_CELLS // len(ids))
-            kept_score: np.ndarray | None = None
-            kept_doc: np.ndarray | None = None
-            for pdf in batches:
-                for at in range(0, len(pdf), chunk):
-                    piece = pdf.iloc[at:at + chunk]
-                    rows = np.stack(piece["embedding"].to_numpy()).astype("float64")
-                    norm = np.linalg.norm(rows, axis=1)
-                    scores = np.round(unit @ (rows / np.where(norm > 0, norm, 1.0)[:, None]).T, 6)
-                    scores[:, norm == 0] = -np.inf
-                    names = piece["doc_id"].to_numpy()
-                    names = names.astype(str) if names.dtype == object else names
-                    docs = np.broadcast_to(names, scores.shape)
-                    if kept_score is not None:
-                        scores = np.concatenate([kept_score, scores], axis=1)
-                        docs = np.concatenate([kept_doc, docs], axis=1)
-                    order = np.lexsort((docs, -scores), axis=1)[:, :k]
-                    kept_score = np.take_along_axis(scores, order, axis=1)
-                    kept_doc = np.take_along_axis(docs, order, axis=1)
-            if kept_score is None:
-                return
-            for i, query_id in enumerate(ids):
-                good = np.isfinite(kept_score[i]) & usable[i]
-                if good.any():
-                    yield pd.DataFrame({"query_id": query_id, "doc_id": kept_doc[i][good].tolist(),
-                                        "vector_score": kept_score[i][good]})
-
-        part = corpus.mapInPandas(best, f"query_id {id_type}, doc_id {doc_type}, vector_score double")
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = spark.createDataFrame([], f"query_id {id_type}, doc_id {doc_type}, vector_score double")
-    top = top_per_group(found, "query_id", [F.desc("vector_score"), F.asc("doc_id")], k)
-    return top.join(keep, "doc_id")
+    keep = _searchable(documents, types).select("doc_id", "source_type", "retrieval_weight", "priority")
+    stored = _vectors_of(embeddings, types).select("doc_id", "embedding").join(keep.select("doc_id"), "doc_id", "left_semi")
+    return vector_blocks.exact_matches(stored, queries.select("query_id", "query_vector"), k).join(keep, "doc_id")
 
 
 def batch_search(documents: DataFrame, embeddings: DataFrame, queries: DataFrame, k: int = 8,
-                 per_type_cap: int = PER_TYPE_CAP) -> DataFrame:
+                 per_type_cap: int | None = PER_TYPE_CAP, types: Sequence[str] | None = None,
+                 vector_weight: float = VECTOR_WEIGHT, keyword_weight: float = KEYWORD_WEIGHT) -> DataFrame:
     """Hybrid search for every row of ``queries`` (query_id, query_text, query_vector)."""
     leg = OVER_FETCH * k
     fused = _fuse(
-        batch_keyword_hits(documents, queries, leg), batch_vector_hits(documents, embeddings, queries, leg),
-        ["query_id", "doc_id"], VECTOR_WEIGHT, KEYWORD_WEIGHT, weighted=True)
-    capped = (
-        fused.withColumn("_pair", F.struct("query_id", "source_type"))
-        .transform(lambda d: top_per_group(d, "_pair", [F.desc("hybrid_score"), F.asc("doc_id")], per_type_cap))
-        .drop("_pair")
-    )
-    return top_per_group(capped, "query_id", _best(), k, out="rank").select(
+        batch_keyword_hits(documents, queries, leg, types), batch_vector_hits(documents, embeddings, queries, leg, types),
+        ["query_id", "doc_id"], vector_weight, keyword_weight, weighted=True)
+    if per_type_cap is not None:
+        fused = (
+            fused.withColumn("_pair", F.struct("query_id", "source_type"))
+            .transform(lambda d: top_per_group(d, "_pair", [F.desc("hybrid_score"), F.asc("doc_id")], per_type_cap))
+            .drop("_pair")
+        )
+    return top_per_group(fused, "query_id", _best(), k, out="rank").select(
         "query_id", "rank", "doc_id", "source_type", "bm25_score", "vector_score", "hybrid_score", "priority",
         "retrieval_weight")
+
+
+def batch_search_analytics(documents: DataFrame, embeddings: DataFrame, queries: DataFrame, k: int = 8) -> DataFrame:
+    return batch_search(documents, embeddings, queries, k, types=ANALYTICS_TYPES)
+
+
+def batch_search_reviews(documents: DataFrame, embeddings: DataFrame, queries: DataFrame, k: int = 5,
+                         per_type_cap: int | None = PER_TYPE_CAP) -> DataFrame:
+    return batch_search(documents, embeddings, queries, k, per_type_cap, types=("review",))

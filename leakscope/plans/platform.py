@@ -22,7 +22,7 @@ PARTITIONED = {
     "dashboard": ["order_month"],
     "leakage_reasons": ["leakage_type"],
     "documents": ["source_type"],
-    "embeddings": ["embedding_type"],
+    "embeddings": ["source_type"],
 }
 # Published tables in an order in which each finds the ones it reads already written.
 PUBLISHED = ("payment_summary", "orders", "shipping", "scores", "customers", "sellers", "leakage_reasons", "dashboard",
@@ -113,7 +113,9 @@ class Platform:
         return orders.shipping(self.star.order_headers(), self.star.parcels(), self.published("orders"), self.params)
 
     def _build_scores(self) -> DataFrame:
-        return scenarios.score_table(self.rule_inputs(), self.params)
+        # Kept before it is ranked: ranking reads it twice, and the rules behind it should run once.
+        labelled = self.store.replace("labelled_scores", scenarios.labelled_scores(self.rule_inputs(), self.params))
+        return scenarios.ranked_scores(labelled)
 
     def _build_customers(self) -> DataFrame:
         return orders.customers(self.star.customer_profiles(), self.published("orders"), self.params)
@@ -146,12 +148,16 @@ class Platform:
         return self.star.embeddings(self.published("documents"))
 
 
-_platforms: dict[tuple[str, str], Platform] = {}
+_platforms: dict[tuple[str, str, str | None], Platform] = {}
 
 
-def platform(spark: SparkSession, folder: str) -> Platform:
-    """The platform of a source folder, shared by all queries of one application."""
-    key = (spark.sparkContext.applicationId, folder)
+def platform(spark: SparkSession, folder: str, root: str | None = None) -> Platform:
+    """The platform of a source folder, shared by all queries of one application.
+
+    Published tables lie below ``root``. One that is named outlives the application: the next one reads what is
+    published there and refreshes on demand. By default they are the application's own.
+    """
+    key = (spark.sparkContext.applicationId, folder, root)
     if key not in _platforms:
-        _platforms[key] = Platform(spark, folder)
+        _platforms[key] = Platform(spark, folder, root=root)
     return _platforms[key]

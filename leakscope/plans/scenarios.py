@@ -169,10 +169,10 @@ def stand_in_scores(inputs: DataFrame, params: RuleParams = DEFAULT_PARAMS) -> D
     )
 
 
-def score_table(inputs: DataFrame, params: RuleParams = DEFAULT_PARAMS) -> DataFrame:
-    """The anomaly score table: scores, tier, rank, normalised reason and its scenarios."""
+def labelled_scores(inputs: DataFrame, params: RuleParams = DEFAULT_PARAMS) -> DataFrame:
+    """The anomaly score table but for its rank: scores, tier, normalised reason and its scenarios."""
     scored = stand_in_scores(inputs, params)
-    labelled = (
+    return (
         scored.withColumn("risk_tier", C.risk_tier(F.col("ensemble_score"), params))
         .withColumn("raw_reason", raw_reason(params))
         .withColumn("leakage_reason", normalise_reason(F.col("anomaly_flag"), F.col("raw_reason")))
@@ -185,4 +185,8 @@ def score_table(inputs: DataFrame, params: RuleParams = DEFAULT_PARAMS) -> DataF
             F.date_format("order_month", "yyyy-MM").alias("month"),
         )
     )
+
+
+def ranked_scores(labelled: DataFrame) -> DataFrame:
+    """The anomaly score table. ``labelled`` is read twice, so it should be a stored table."""
     return percent_rank_by_value(labelled, "ensemble_score", "anomaly_rank")

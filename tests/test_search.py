@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from leakscope.functions import text as X
 from leakscope.functions.vectors import cosine, cosine_scores
-from leakscope.operators import ivf, search
+from leakscope.operators import ivf, search, vector_blocks
 
 DIM = 8
 
@@ -87,16 +87,17 @@ def test_result_schema_and_wrappers(corpus):
     assert len(search.search_reviews(d, e, "order", vecs[1], per_type_cap=None).collect()) == 5
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 20, 3 * DIM * 8])
-def test_batch_equals_single_queries(spark, corpus, monkeypatch, block_bytes):
-    """Also when the query vectors need several passes and scores come in small pieces."""
+@pytest.mark.parametrize("rows", [10_000, 3])
+def test_batch_equals_single_queries(spark, corpus, monkeypatch, rows):
+    """Also when queries and vectors are dealt into many blocks and scores come in small pieces."""
     d, e, _, vecs = corpus
-    monkeypatch.setattr(search, "SCORE_CELLS", 64)
+    monkeypatch.setattr(vector_blocks, "SCORE_CELLS", 64)
+    monkeypatch.setattr(vector_blocks, "QUERY_ROWS", rows)
+    monkeypatch.setattr(vector_blocks, "STORED_ROWS", 10 * rows)
     queries = [(1, "refund order", vecs[1]), (2, "late", vecs[2]), (3, "the", vecs[3]), (4, "order", None),
                (5, "", vecs[6]), (6, "late", vecs[2]), (7, "margin seller", [0.0] * DIM)]
     q = spark.createDataFrame(queries, "query_id int, query_text string, query_vector array<float>")
-    monkeypatch.setattr(search, "QUERY_BLOCK_BYTES", block_bytes)
-    near = search.batch_vector_hits(d, e, q, 24, block_bytes)
+    near = search.batch_vector_hits(d, e, q, 24)
     words = search.batch_keyword_hits(d, q, 24)
     for query_id, text, vector in queries:
         got = [(r.doc_id, r.bm25_score) for r in words.filter(F.col("query_id") == query_id).orderBy(
@@ -105,11 +106,14 @@ def test_batch_equals_single_queries(spark, corpus, monkeypatch, block_bytes):
         assert got == want
         got = ids(near.filter(F.col("query_id") == query_id).orderBy(F.desc("vector_score"), "doc_id"))
         assert got == (ids(search.vector_hits(d, e, vector, 24)) if vector else [])
-    if block_bytes > 1000:
-        best = search.batch_search(d, e, q)
-        for query_id, text, vector in queries[:3]:
-            got = ids(best.filter(F.col("query_id") == query_id).orderBy("rank"))
-            assert got == ids(search.hybrid_search(d, e, text, vector))
+    if rows > 3:
+        pairs = ((search.batch_search, search.hybrid_search), (search.batch_search_analytics, search.search_analytics),
+                 (search.batch_search_reviews, search.search_reviews))
+        for batch, single in pairs:
+            best = batch(d, e, q).collect()
+            for query_id, text, vector in queries[:3]:
+                got = [r.doc_id for r in sorted(best, key=lambda r: r.rank) if r.query_id == query_id]
+                assert got == ids(single(d, e, text, vector))
 
 
 def test_cosine_forms_agree(spark):
@@ -138,6 +142,39 @@ def test_ivf_recall_and_exactness(corpus):
     assert hit / total > 0.8
 
 
+@pytest.mark.parametrize("rows", [10_000, 4])
+def test_probed_batch_equals_single_probes(spark, corpus, monkeypatch, rows):
+    """Cells are cut into blocks without changing what is found; by default cells grow with the root of the rows."""
+    _, e, _, vecs = corpus
+    monkeypatch.setattr(vector_blocks, "STORED_ROWS", rows)
+    monkeypatch.setattr(vector_blocks, "QUERY_ROWS", rows)
+    celled, centres = ivf.build_cells(e)
+    celled = celled.cache()
+    assert len(centres) == round(len(vecs) ** 0.5)
+    asked = [(i, vecs[i]) for i in list(vecs)[:6]] + [(-1, None), (-2, [1.0])]
+    q = spark.createDataFrame(asked, "query_id int, query_vector array<float>")
+    got = ivf.probe_batch(celled, centres, q, 5, 3).collect()
+    assert {r.query_id for r in got} == {i for i, _ in asked[:6]}
+    for i, vector in asked[:6]:
+        mine = sorted(((-r.vector_score, r.doc_id) for r in got if r.query_id == i))
+        assert [m[1] for m in mine] == ids(ivf.probe_search(celled, centres, vector, 5, 3))
+    exact = vector_blocks.exact_matches(celled, q, 5)
+    full = ivf.recall(ivf.probe_batch(celled, centres, q, 5, len(centres)), exact).first()
+    assert full.neighbours == full.found == 30
+    probes = ivf.probes_for(celled, centres, q, 5, 0.8)
+    less = ivf.recall(ivf.probe_batch(celled, centres, q, 5, probes - 1), exact).first()
+    enough = ivf.recall(ivf.probe_batch(celled, centres, q, 5, probes), exact).first()
+    assert less.found < 24 <= enough.found
+
+
+def test_search_for_some_types_reads_only_their_vectors(spark, plat):
+    """Both tables are pruned to the folders of the source types asked for."""
+    found = search.vector_hits(plat.published("documents"), plat.published("embeddings"), [0.1] * 64, 5, ["schema_doc"])
+    plan = found._jdf.queryExecution().toString()
+    scans = [line for line in plan.splitlines() if "PartitionFilters" in line]
+    assert len(scans) >= 2 and all("schema_doc" in line.split("PartitionFilters")[1] for line in scans)
+
+
 def test_vectors_of_another_shape_do_not_fail_a_batch(spark):
     from leakscope.operators import search
 
