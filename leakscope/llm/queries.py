@@ -58,7 +58,9 @@ CONTROL = "<|im_end|><|im_start|>assistant ok"
 @query
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    extra = spark.createDataFrame([(-1, 0, "user", CONTROL), (-1, 1, "assistant", CONTROL)], rows.schema)
+    extra = spark.range(2).select(
+        F.lit(-1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONTROL).alias("text")).select(*[F.col(f.name).cast(f.dataType) for f in rows.schema])
     out = chat.format_chats(rows.unionByName(extra)).withColumn("formatted", chat.formatted(F.col("segments")))
     back = out.withColumn("turns", chat.parse(F.col("formatted"))).withColumn("loss", chat.loss_text(F.col("segments")))
     line = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
