@@ -280,6 +280,13 @@ def f20_trigram_similarity(p: Platform) -> DataFrame:
         .alias("similarity"))
 
 
+@query
+def f20_similar_reviews(p: Platform) -> DataFrame:
+    """Reviews at least so similar to a phrase, the search that a trigram index serves."""
+    similarity = F.round(X.trigram_similarity(F.col("review_comment"), F.lit("the order was late")), 6)
+    return p.star.reviews().filter(similarity >= 0.1).select("review_id", similarity.alias("similarity"))
+
+
 @query
 def f21_review_fulltext(p: Platform) -> DataFrame:
     raw, stem = search.query_terms(SEARCH_TEXT)

@@ -117,6 +117,8 @@ s AS (SELECT review_id, count(*) AS n, count(q.tri) AS shared FROM g LEFT JOIN q
 SELECT review_id, round(coalesce(shared, 0)::DOUBLE / (coalesce(n, 0) + (SELECT count(*) FROM q) - coalesce(shared, 0)), 6)
   AS similarity FROM revs LEFT JOIN s USING (review_id)"""
 
+S["f20_similar_reviews"] = f"SELECT review_id, similarity FROM ({S['f20_trigram_similarity']}) WHERE similarity >= 0.1"
+
 S["j7_latest_review"] = """
 SELECT order_id, rating::DOUBLE AS rating, sentiment, length(review_comment)::INTEGER AS chars FROM lastrev"""
 S["j9_seller_chain"] = """
