@@ -19,6 +19,9 @@ from leakscope.llm.common import small_batches, stored, whole_row
 UNKNOWN = "und"
 # About so many labelled rows are learned from, chosen by a hash of their id.
 TRAIN_ROWS = 6000
+# A text is of no learned language if its loss is above that of so many of the held-out labelled texts, and above
+# this share of what a text without any evidence loses.
+CLEAN, BLIND = 0.999, 0.25
 BUCKETS = 1 << 15  # per n-gram length
 SLAB = 1 << 20  # characters worked on at once
 
@@ -76,7 +79,8 @@ def codewords(n: int, seed: int = 7) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Languages, codewords, n-gram weights per bit, and slope, offset and loss weight of each bit."""
+    """Languages, codewords, n-gram weights per bit, and slope, offset and loss weight of each bit; above ``limit``
+    the loss of the nearest language says that a text is of none."""
 
     languages: list[str]
     code: np.ndarray
@@ -84,6 +88,7 @@ class Model:
     slope: np.ndarray
     offset: np.ndarray
     trust: np.ndarray
+    limit: float = np.inf
 
     def evidence(self, text: str | None) -> np.ndarray | None:
         """Mean weight of a text's n-grams per bit; None without letters."""
@@ -93,13 +98,13 @@ class Model:
             n += len(grams)
         return total / n if n else None
 
-    def decode(self, evidence: np.ndarray) -> tuple[int, float, float]:
-        """Nearest language, its share of exp(-loss) over all, and the loss it leads by."""
+    def decode(self, evidence: np.ndarray) -> tuple[int, float, float, float]:
+        """Nearest language, its share of exp(-loss) over all, the loss it leads by, and its own loss."""
         margin = np.clip(self.slope * evidence + self.offset, -30, 30)
         loss = (np.logaddexp(0, -self.code * margin) * self.trust).sum(axis=1)
         best = int(loss.argmin())
         lead = float(np.partition(loss, 1)[1] - loss[best]) if len(loss) > 1 else np.inf
-        return best, float(1 / np.exp(loss[best] - loss).sum()), lead
+        return best, float(1 / np.exp(loss[best] - loss).sum()), lead, float(loss[best])
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 25) -> tuple[float, float]:
@@ -114,10 +119,11 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 25) -> tuple[float, fl
     return float(w[0] / scale), float(w[1])
 
 
-def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int) -> DataFrame:
-    """About ``rows`` labelled rows outside the held-out third, by a hash of the id."""
+def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int, held_out: bool = False) -> DataFrame:
+    """About ``rows`` labelled rows in or outside the held-out third, by a hash of the id."""
+    fold = F.crc32(F.col(id_col).cast("string").cast("binary")) % 3
     known = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
-                        & (F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 != 1))
+                        & ((fold == 1) if held_out else (fold != 1)))
     n = known.count()
     share = min(1.0, rows / max(n, 1))
     place = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20))
@@ -127,7 +133,7 @@ def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: in
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         rows: int = TRAIN_ROWS) -> Model:
-    """A model learned from about ``rows`` labelled rows.
+    """A model learned from about ``rows`` labelled rows. A sample of the held-out third sets the limit.
 
     A bit's classifier weighs an n-gram by the log ratio of its mean smoothed share in the languages with
     that bit set and in the others. To the driver come counts per language and n-gram bucket, and one
@@ -179,35 +185,44 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     wrong = ((x * lines[:, 0] + lines[:, 1] > 0) != (y > 0)).mean(axis=0)
     # Less error, more say: half the log odds of being right.
     trust = 0.5 * np.log((1 - np.clip(wrong, 1e-3, 0.499)) / np.clip(wrong, 1e-3, 0.499))
-    return Model(languages, code, raw.weights, lines[:, 0], lines[:, 1], trust / trust.sum() * bits)
+    model = Model(languages, code, raw.weights, lines[:, 0], lines[:, 1], trust / trust.sum() * bits)
+    clean = _sample(docs, id_col, text_col, lang_col, rows, held_out=True).filter(F.col("lang").isin(languages))
+    losses = [model.decode(np.array(e))[3] for e in clean.mapInPandas(
+        measure, "lang string, evidence array<double>").toPandas()["evidence"]]
+    model.limit = max([BLIND * bits * np.log(2), *(np.quantile(losses, [CLEAN]) if losses else [])])
+    return model
 
 
 def identify(text: Column, model: Model, spark, ambiguous: float = 0.5) -> Column:
-    """Struct ``(lang_pred, score, ambiguous)`` of each text.
+    """Struct ``(lang_pred, score, ambiguous, foreign)`` of each text.
 
     ``score`` is the winner's share of exp(-loss) over all languages. ``ambiguous``: the runner-up's loss
-    is less than ``ambiguous`` behind. Without letters, with a null text, or if nothing was learned, the
-    answer is ``und`` with score 0, marked ambiguous.
+    is less than ``ambiguous`` behind. ``foreign``: even the winner's loss is above the model's limit, as that of
+    gibberish or of a language that was not learned, whose score may still be near 1. Without letters, with a null text, or if nothing was learned, the
+    answer is ``und`` with score 0, marked ambiguous and foreign.
     """
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double, ambiguous boolean")
+    @F.pandas_udf("lang_pred string, score double, ambiguous boolean, foreign boolean")
     def predict(texts: pd.Series) -> pd.DataFrame:
         m, rows = shared.value, []
         for t in texts:
             e = m.evidence(t) if m.languages else None
             if e is None:
-                rows.append((UNKNOWN, 0.0, True))
+                rows.append((UNKNOWN, 0.0, True, True))
             else:
-                best, score, lead = m.decode(e)
-                rows.append((m.languages[best], score, lead < ambiguous))
-        return pd.DataFrame(rows, columns=["lang_pred", "score", "ambiguous"])
+                best, score, lead, loss = m.decode(e)
+                rows.append((m.languages[best], score, lead < ambiguous, loss > m.limit))
+        return pd.DataFrame(rows, columns=["lang_pred", "score", "ambiguous", "foreign"])
 
     return predict(text)
 
 
 def known_only(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """The rows whose language is told, as they are, by a model learned from them; ``und`` goes."""
+    """The rows in a language learned from them, as they are; ``und`` and foreign ones go. If no row is labelled
+    nothing can be told, and all texts with a letter stay."""
     model = fit(docs, text_col=text_col, **options)
+    if not model.languages:
+        return docs.filter(F.col(text_col).rlike(r"\p{L}"))
     told = docs.select(whole_row(docs), identify(F.col(text_col), model, docs.sparkSession).alias("l"))
-    return told.filter(F.col("l.lang_pred") != UNKNOWN).select("row.*")
+    return told.filter((F.col("l.lang_pred") != UNKNOWN) & ~F.col("l.foreign")).select("row.*")
