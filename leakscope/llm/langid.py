@@ -17,8 +17,11 @@ from pyspark.sql import functions as F
 from leakscope.llm.common import small_batches, stored, whole_row
 
 UNKNOWN = "und"
-# About so many labelled rows are learned from, chosen by a hash of their id.
+# About so many labelled rows are learned from, as many of each language, chosen by a hash of their id ...
 TRAIN_ROWS = 6000
+# ... but of each language so many, or all it has, however many languages there are.
+LANG_ROWS = 100
+PLACES = 1 << 40
 # A text is of no learned language if its loss is above that of so many of the held-out labelled texts, and above
 # this share of what a text without any evidence loses.
 CLEAN, BLIND = 0.999, 0.25
@@ -120,20 +123,23 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 25) -> tuple[float, fl
 
 
 def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int, held_out: bool = False) -> DataFrame:
-    """About ``rows`` labelled rows in or outside the held-out third, by a hash of the id."""
+    """About ``rows`` labelled rows with a letter in or outside the held-out third, by a hash of the id: of each
+    language the same number, at least ``LANG_ROWS``, or all it has."""
     fold = F.crc32(F.col(id_col).cast("string").cast("binary")) % 3
-    known = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
-                        & ((fold == 1) if held_out else (fold != 1)))
-    n = known.count()
-    share = min(1.0, rows / max(n, 1))
-    place = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20))
-    return known.filter(place < int(share * (1 << 20)) + 1).select(
-        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    known = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")
+                        & ((fold == 1) if held_out else (fold != 1))).select(
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
+        F.pmod(F.xxhash64(F.col(id_col)), F.lit(PLACES)).alias("place"))
+    counts = stored(known.groupBy("lang").agg(F.count("*").alias("n")), "langid_counts")
+    each = max(rows // max(counts.count(), 1), LANG_ROWS)
+    return known.join(F.broadcast(counts), "lang").filter(F.col("place") < F.lit(float(each * PLACES)) / F.col("n")).select(
+        "lang", "text")
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         rows: int = TRAIN_ROWS) -> Model:
-    """A model learned from about ``rows`` labelled rows. A sample of the held-out third sets the limit.
+    """A model learned from about ``rows`` labelled rows, as many of each language; every language with a labelled
+    row outside the held-out third is learned. A sample of that third sets the limit.
 
     A bit's classifier weighs an n-gram by the log ratio of its mean smoothed share in the languages with
     that bit set and in the others. To the driver come counts per language and n-gram bucket, and one

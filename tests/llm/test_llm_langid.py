@@ -31,3 +31,20 @@ def test_stage_without_labels_drops_no_text(spark):
     rows = [(1, "some text", None), (2, "12 34", None), (3, None, None), (4, RUSSIAN, None)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert {r.doc_id for r in langid.known_only(frame).collect()} == {1, 4}
+
+
+def test_rare_languages_are_learned(spark):
+    """However many rows the others have: two rows of 3,000 in one language, three in another."""
+    rng = random.Random(1)
+    words = "the people who live in the city go to work every day even though it snows and the wind is cold".split()
+    rows = [(i, " ".join(rng.choices(words, k=12)), "en") for i in range(3000)]
+    rows += [(10_000 + i, RUSSIAN, "ru") for i in (0, 2)] + [(20_000 + i, FINNISH, "fi") for i in range(3)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    trained = {r.lang for r in frame.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1).collect()}
+    assert trained == {"en", "fi", "ru"}
+    model = langid.fit(frame, rows=60)
+    assert model.languages == ["en", "fi", "ru"]
+    told = frame.select("lang", langid.identify(F.col("text"), model, spark).alias("l"))
+    assert told.filter("lang <> l.lang_pred").count() == 0
+    sizes = {r.lang: r["count"] for r in langid._sample(frame, "doc_id", "text", "lang", 60).groupBy("lang").count().collect()}
+    assert sizes["en"] < 200
