@@ -9,16 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leakscope.llm import (
+    centroids,
     chat,
     decontaminate,
     elias_fano,
     langid,
     packing,
+    phrases,
     pii,
     quality,
     sharding,
     simhash,
     substrings,
+    warc,
 )
 from leakscope.llm.common import read, scratch
 
@@ -110,6 +113,29 @@ def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, capacity=4096)
 
 
+@query
+def op11_centroid_eenns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = centroids.cluster(read(spark, sf_dir, "embeddings"))
+    return rows.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                       hex_digest(F.array_join(F.col("centroid").cast("array<string>"), ",")).alias("centroid_sha256"))
+
+
+@query
+def op12_phrase_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
+@query
+def op13_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "warc")
+    warc.write_archive(read(spark, sf_dir, "pages"), path)
+    rows, kind = warc.read_archive(spark, path), warc.field(F.col("header"), "WARC-Type")
+    return rows.select(
+        warc.page_of(warc.field(F.col("header"), "WARC-Record-ID")).alias("page_id"),
+        F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest"),
+        kind.alias("record_type"), warc.page_of(warc.field(F.col("header"), "WARC-Refers-To")).alias("refers_to"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
@@ -189,5 +215,91 @@ with docs as (
 select d.doc_id, len(d.w)::bigint as n_words, coalesce(h.n, 0)::bigint as n_hit, coalesce(i.n, 0)::bigint as n_items,
        sha256(coalesce(i.items, '')) as items_sha256, coalesce(h.n > 0 and 20 * h.n >= len(d.w), false) as contaminated
 from docs d left join hit h using (doc_id) left join named i using (doc_id)
+""",
+    "op12_phrase_graph": r"""
+with pieces as (
+    select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece from documents
+), words as (
+    select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') as w from pieces
+), total as (
+    select lang, sum(len(w))::bigint as n from words group by lang
+), grams as materialized (
+    select lang, m, phrase, count(*) as f from (
+        select lang, m, array_to_string(w[i:i + m - 1], ' ') as phrase from (
+            select lang, m, w, unnest(range(1, len(w) - m + 2)) as i from words, (select unnest([1, 2, 3, 4]) as m)))
+    group by lang, m, phrase having count(*) >= 30
+), cuts as (
+    select lang, m, phrase, f as a, k, string_split(phrase, ' ') as w
+    from (select *, unnest(range(1, m)) as k from grams where m > 1)
+), scored as (
+    select c.lang, c.m, c.phrase, c.a, c.k, x.f as l, y.f as r,
+           ((2000000::hugeint * c.a) // (x.f::hugeint + y.f))::bigint as score
+    from cuts c join grams x on x.lang = c.lang and x.phrase = array_to_string(c.w[1:c.k], ' ')
+    join grams y on y.lang = c.lang and y.phrase = array_to_string(c.w[c.k + 1:c.m], ' ')
+), worst as (
+    select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), subs as (
+    select lang, f, array_to_string(w[i:i + s - 1], ' ') as phrase from (
+        select lang, f, m, s, w, unnest(range(1, m - s + 2)) as i from (
+            select lang, f, m, string_split(phrase, ' ') as w, unnest(range(2, m)) as s from grams where m > 2))
+), longer as (
+    select lang, phrase, max(f) as f from subs group by lang, phrase
+)
+select w.lang, rank, w.phrase, a, l, r, n, score from (
+    select w.*, row_number() over (partition by w.lang order by score desc, a desc, encode(w.phrase)) as rank
+    from worst w left join longer g on g.lang = w.lang and g.phrase = w.phrase
+    where g.f is null or 100::hugeint * g.f < 80::hugeint * w.a
+) w join total on total.lang = w.lang where rank <= 2000
+""",
+    "op13_warc_archive": r"""
+with p as (
+    select page_id, octet_length(encode(coalesce(html, ''))) as bytes, sha256(coalesce(html, '')) as digest from pages
+), f as (
+    select *, min(page_id) over (partition by digest) as first from p
+)
+select page_id, bytes::bigint as payload_bytes, digest as payload_digest,
+       case when bytes >= 100 and page_id is distinct from first then 'revisit' else 'response' end as record_type,
+       case when bytes >= 100 and page_id is distinct from first then first end as refers_to
+from f
 """,
 }
+
+
+def _cluster_sql(k: int = 40, rounds: int = 5, width: int = 64) -> str:
+    """The rounds of op11 one after the other: nearest centroid, then floors of the means."""
+    steps = [f"""
+v0 as materialized (
+    select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
+    where len(embedding) = {width} and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))
+), v as materialized (
+    select *, row_number() over () as rid from v0
+), c0 as materialized (
+    select (row_number() over (order by sha256('2:' || vec_id), v) - 1)::int as n, v as c
+    from v qualify n < {k}
+)"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} as materialized (
+    select rid, (arg_min({{'n': n, 'd': d}}, {{'d': d, 'n': n}})).n as n, min(d) as d from (
+        select rid, n, list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint as d from v, c{r}
+    ) group by rid
+)""")
+        if r < rounds:
+            steps.append(f"""
+s{r} as (
+    select n, i, sum(x) as s, count(*) as m from (
+        select n, unnest(v) as x, unnest(range(1, {width + 1})) as i from v join a{r} using (rid)) group by n, i
+), m{r} as (
+    select n, list(((s - ((s % m) + m) % m) // m)::bigint order by i) as c from s{r} group by n
+), c{r + 1} as materialized (
+    select n, coalesce(m{r}.c, c{r}.c) as c from c{r} left join m{r} using (n)
+)""")
+    return "with " + ",".join(steps) + f"""
+select vec_id, n as cluster, d as distance, (sum(d) over (partition by n))::bigint as cluster_inertia,
+       (sum(d) over ())::bigint as inertia, sha256(array_to_string(c, ',')) as centroid_sha256
+from v join a{rounds} using (rid) join c{rounds} using (n)
+"""
+
+
+ORACLE_SQL["op11_centroid_eenns"] = _cluster_sql()
