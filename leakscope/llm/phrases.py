@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,39 +28,43 @@ from leakscope.llm.common import small_batches, stored
 ENDS, GAPS = b".,;:!?\n\x0b\x0c\r", b"\t"
 FOLD = bytes(10 if b in ENDS else 32 if b in GAPS else b + 32 if 65 <= b <= 90 else b for b in range(256))
 STOP = b"\xff"  # between pieces; no byte of UTF-8 text
-SLAB = 12 << 20  # bytes of text counted at once
+SLAB = 8 << 20  # bytes of text counted at once
 BUCKET = 8 << 20  # characters of text per bucket of runs
 PACKED = "lang string, level int, bucket int, words binary, runs binary"
 
 
-def fold(codes: list[np.ndarray], size: int) -> np.ndarray:
-    """One integer per row of these columns of numbers below ``size``; equal for equal rows, in their order."""
-    out = codes[0].astype(np.int64)
-    for c in codes[1:]:
-        _, out = np.unique(out, return_inverse=True)
-        out = out.astype(np.int64) * size + c
+def fold(rows: np.ndarray, size: int) -> np.ndarray:
+    """One integer per row of numbers below ``size``; equal for equal rows."""
+    out, limit = rows[:, 0].astype(np.int64), size
+    for c in range(1, rows.shape[1]):
+        if limit * size >= 1 << 62:
+            seen, out = np.unique(out, return_inverse=True)
+            limit = len(seen)
+        out = out * size + rows[:, c]
+        limit *= size
     return out
 
 
-def tally(rows: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct rows and the sum of their counts."""
+def tally(rows: np.ndarray, counts: np.ndarray | None, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows and the sum of their counts (1 each if None)."""
     if not len(rows):
-        return rows, counts
-    _, at, place = np.unique(fold(list(rows.T), size), return_index=True, return_inverse=True)
-    total = np.zeros(len(at), np.int64)
-    np.add.at(total, place, counts)
-    return rows[at], total
+        return rows, np.zeros(0, np.int64)
+    code = fold(rows, size)
+    order = np.argsort(code)
+    starts = np.flatnonzero(np.diff(code[order], prepend=-1))
+    total = np.diff(starts, append=len(order)) if counts is None else np.add.reduceat(counts[order], starts)
+    return rows[order[starts]], total
 
 
-def pack(lang: str, level: int, rows: np.ndarray, counts: np.ndarray, words: pa.Array, buckets: int,
+def pack(lang: str, level: int, rows: np.ndarray, counts: np.ndarray, words: np.ndarray, buckets: int,
          key: int) -> Iterator[tuple]:
     """Packed rows by bucket of their first ``key`` words. Numbers in ``rows`` are word places plus 1, 0 is no word."""
     if not len(rows):
         return
-    marks = np.array([0, *(xxhash.xxh64_intdigest(w) for w in words.to_pylist())], np.uint64)
+    marks = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
     mixed = np.full(len(rows), xxhash.xxh64_intdigest(lang.encode()), np.uint64)
     for c in range(key):
-        mixed = (mixed ^ marks[rows[:, c]]) * np.uint64(0x9E3779B97F4A7C15)
+        mixed = (mixed ^ marks[rows[:, c] - 1]) * np.uint64(0x9E3779B97F4A7C15)
         mixed ^= mixed >> np.uint64(32)
     bucket = (mixed % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
@@ -68,29 +73,39 @@ def pack(lang: str, level: int, rows: np.ndarray, counts: np.ndarray, words: pa.
         part = order[a:b]
         used, local = np.unique(rows[part], return_inverse=True)
         local = local.reshape(len(part), -1) + (1 if used[0] else 0)
-        text = b"\n".join(words.take(pa.array(used[used > 0] - 1)).to_pylist())
+        text = b"\n".join(words[used[used > 0] - 1])
         runs = np.concatenate([local.T.astype("<u4").ravel(), counts[part].astype("<u8").view("<u4")])
         size = np.array([len(part)], "<u4")
-        yield (lang, level, int(bucket[part[0]]), pa.compress(len(text).to_bytes(4, "little") + text, "zstd", asbytes=True),
-               size.tobytes() + pa.compress(runs.tobytes(), "zstd", asbytes=True))
+        yield (lang, level, int(bucket[part[0]]), _deflate(text), size.tobytes() + _deflate(runs.tobytes()))
 
 
-def unpack(words: list[bytes], runs: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """Rows, counts and words of packed rows of one bucket, merged."""
+def unpack(words: list[bytes], runs: list[bytes], level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, counts and words of packed rows of one bucket, merged; edges are a word wider than their level."""
     texts, rows, counts, at = [], [], [], 0
     for w, r in zip(words, runs, strict=True):
-        text = _inflate(w)[4:].split(b"\n")
+        text = pc.split_pattern(pa.array([_inflate(w)], pa.binary()), "\n").flatten()
         n = int.from_bytes(r[:4], "little")
-        flat = np.frombuffer(pa.decompress(r[4:], n * (4 * width + 8), "zstd", asbytes=True), "<u4")
+        flat = np.frombuffer(_inflate(r[4:]), "<u4")
+        width = len(flat) // n - 2
         local = flat[:n * width].reshape(width, n).T.astype(np.int64)
         rows.append(np.where(local > 0, local + at, 0))
         counts.append(flat[n * width:].view("<u8").astype(np.int64))
-        texts += text
+        texts.append(text)
         at += len(text)
-    coded = pa.array(texts, pa.binary()).dictionary_encode()
-    place = np.concatenate([[0], coded.indices.to_numpy(zero_copy_only=False) + 1])
+    coded = pa.concat_arrays(texts).dictionary_encode()
+    place = np.concatenate([[0], coded.indices.to_numpy(zero_copy_only=False) + 1]).astype(np.int32)
     rows, counts = tally(place[np.concatenate(rows)], np.concatenate(counts), len(coded.dictionary) + 1)
-    return rows, counts, coded.dictionary
+    return rows, counts, _listed(coded.dictionary)
+
+
+def _listed(words: pa.Array) -> np.ndarray:
+    out = np.empty(len(words), object)
+    out[:] = words.to_pylist()
+    return out
+
+
+def _deflate(data: bytes) -> bytes:
+    return pa.compress(data, "zstd", asbytes=True)
 
 
 def _inflate(data: bytes) -> bytes:
@@ -101,25 +116,25 @@ def count_slab(lang: str, text: bytes, top: int, buckets: list[int]) -> Iterator
     """Packed edges and piece ends of a slab of one language."""
     tokens = text.translate(FOLD).replace(b"\n", b" \xff ").split(b" ")
     coded = pa.array([STOP, *filter(None, tokens), STOP], pa.binary()).dictionary_encode()
-    ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)  # STOP is 0, words start at 1
-    words, size = coded.dictionary.slice(1), len(coded.dictionary)
+    del tokens
+    ids = coded.indices.to_numpy(zero_copy_only=False)  # STOP is 0, words start at 1
+    words, size = _listed(coded.dictionary)[1:], len(coded.dictionary)
     if size == 1:
         return
     last = np.flatnonzero((ids[:-1] > 0) & (ids[1:] == 0))
     for level in range(1, top):  # pieces end with their last 1, 2, ... words
-        far = last[last >= level]
-        far = far[np.all([ids[far - i] > 0 for i in range(level)], axis=0)]
-        rows = np.stack([ids[far - i] for i in range(level - 1, -1, -1)], axis=1)
-        if level == top - 1:
-            ends = rows
-            continue
-        yield from pack(lang, level, *tally(rows, np.ones(len(rows), np.int64), size), words, buckets[level], level)
-    spots = np.arange(max(0, len(ids) - top + 1))
-    spots = spots[np.all([ids[spots + i] > 0 for i in range(top)], axis=0)] if len(spots) else spots
-    edges = np.stack([ids[spots + i] for i in range(top)], axis=1)
-    ends = np.concatenate([ends, np.zeros((len(ends), 1), np.int64)], axis=1)  # an edge to no word
-    both = np.concatenate([edges, ends])
-    yield from pack(lang, top - 1, *tally(both, np.ones(len(both), np.int64), size), words, buckets[top - 1], top - 1)
+        last = last[ids[last - level + 1] > 0]  # the text starts with a STOP, so no place lies before it
+        ends = np.stack([ids[last - i] for i in range(level - 1, -1, -1)], axis=1)
+        if level < top - 1:
+            yield from pack(lang, level, *tally(ends, None, size), words, buckets[level], level)
+    inside = ids > 0
+    count = max(0, len(ids) - top + 1)
+    spots = np.flatnonzero(np.logical_and.reduce([inside[i:i + count] for i in range(top)]))
+    both = np.zeros((len(spots) + len(ends), top), np.int32)
+    for i in range(top):
+        both[:len(spots), i] = ids[spots + i]
+    both[len(spots):, :top - 1] = ends  # an edge to no word
+    yield from pack(lang, top - 1, *tally(both, None, size), words, buckets[top - 1], top - 1)
 
 
 def flows(packed: DataFrame, level: int, least: int, buckets: list[int]) -> DataFrame:
@@ -129,17 +144,17 @@ def flows(packed: DataFrame, level: int, least: int, buckets: list[int]) -> Data
     and packed rows for the level below. The lowest level also gives the words of each language, as phrase null.
     """
     def merge(key: tuple, batch: pd.DataFrame) -> pd.DataFrame:
-        lang, width = key[0], _width(batch["runs"].iloc[0], batch["words"].iloc[0], level)
-        rows, counts, words = unpack(batch["words"].to_list(), batch["runs"].to_list(), width)
+        lang = key[0]
+        rows, counts, words = unpack(batch["words"].to_list(), batch["runs"].to_list(), level)
         size, out = len(words) + 1, []
 
         def frequent(rows: np.ndarray, counts: np.ndarray) -> None:
             some = np.flatnonzero(counts >= least)
-            names = [words.take(pa.array(c - 1)).to_pylist() for c in rows[some].T]
+            names = [words[c - 1] for c in rows[some].T]
             out.extend((lang, b" ".join(p).decode(), rows.shape[1], int(n), None, None, None, None)
                        for p, n in zip(zip(*names, strict=True), counts[some], strict=True))
 
-        if width > level:
+        if rows.shape[1] > level:
             edge = rows[:, level] > 0
             frequent(rows[edge], counts[edge])
             rows, counts = tally(rows[:, :level], counts, size)
@@ -158,12 +173,6 @@ def flows(packed: DataFrame, level: int, least: int, buckets: list[int]) -> Data
         merge, "lang string, phrase string, words_ int, n long, level int, bucket int, words binary, runs binary")
 
 
-def _width(runs: bytes, words: bytes, level: int) -> int:
-    """Words per run in packed rows: edges have one more than their node."""
-    n = int.from_bytes(runs[:4], "little")
-    return (len(_inflate(runs[4:])) - 8 * n) // (4 * n)
-
-
 def _last(phrase: str, words: int) -> Column:
     return F.substring_index(F.col(phrase), " ", -words)
 
