@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import brute
 import pytest
 from conftest import SF  # the one above this folder
+from test_llm_minhash import kept_ids
 
 from leakscope.llm.common import read
 from leakscope.llm.queries import QUERIES
@@ -159,9 +160,7 @@ def test_pipeline(spark, docs):
             assert at.columns == columns
     letters = {d for d, t in docs.items() if t and any(c.isalpha() for c in t)}
     assert {r.doc_id for r in seen["language"]} == letters
-    ids = sorted(letters)
-    roots = brute.components([brute.fingerprint(docs[d]) for d in ids])
-    firsts = {ids[r] for r in roots}
+    firsts = kept_ids({d: docs[d] for d in letters})
     assert sorted(r.doc_id for r in seen["near_duplicates"]) == sorted(firsts)
     items = [(r.item_id, r.text) for r in read(spark, SF, "benchmark").collect()]
     clean = {d for d in firsts if not (lambda n, h, *_: h > 0 and 20 * h >= n)(*brute.contamination(docs[d], items))}
