@@ -22,7 +22,7 @@ TRAIN_ROWS = 6000
 # ... but of each language so many, or all it has, however many languages there are.
 LANG_ROWS = 100
 PLACES = 1 << 40
-# A text is of no learned language if its loss is above that of so many of the held-out labelled texts, and above
+# A text is of no learned language if its loss is above that of so many labelled texts kept from the learning, and above
 # this share of what a text without any evidence loses.
 CLEAN, BLIND = 0.999, 0.25
 BUCKETS = 1 << 15  # per n-gram length
@@ -122,31 +122,36 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 25) -> tuple[float, fl
     return float(w[0] / scale), float(w[1])
 
 
-def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int, held_out: bool = False) -> DataFrame:
-    """About ``rows`` labelled rows with a letter in or outside the held-out third, by a hash of the id: of each
-    language the same number, at least ``LANG_ROWS``, or all it has."""
-    fold = F.crc32(F.col(id_col).cast("string").cast("binary")) % 3
+def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int) -> DataFrame:
+    """About ``rows`` labelled rows with a letter outside the held-out third, by a hash of the id: of each language the
+    same number, at least ``LANG_ROWS``, or all it has. ``quarter`` deals them into four parts; a language's first
+    row is never in part 0."""
     known = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")
-                        & ((fold == 1) if held_out else (fold != 1))).select(
+                        & (F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 != 1)).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
-        F.pmod(F.xxhash64(F.col(id_col)), F.lit(PLACES)).alias("place"))
-    counts = stored(known.groupBy("lang").agg(F.count("*").alias("n")), "langid_counts")
+        F.pmod(F.xxhash64(F.col(id_col)), F.lit(PLACES)).alias("place"),
+        F.pmod(F.xxhash64(F.col(id_col), F.lit(4)), F.lit(4)).alias("quarter"))
+    counts = stored(known.groupBy("lang").agg(F.count("*").alias("n"), F.min("place").alias("first")), "langid_counts")
     each = max(rows // max(counts.count(), 1), LANG_ROWS)
-    return known.join(F.broadcast(counts), "lang").filter(F.col("place") < F.lit(float(each * PLACES)) / F.col("n")).select(
-        "lang", "text")
+    return known.join(counts, "lang").filter(F.col("place") < F.lit(float(each * PLACES)) / F.col("n")).select(
+        "lang", "text", F.when(F.col("place") == F.col("first"), 1).otherwise(F.col("quarter")).alias("quarter"))
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        rows: int = TRAIN_ROWS) -> Model:
+        rows: int = TRAIN_ROWS, calibrate: bool = False) -> Model:
     """A model learned from about ``rows`` labelled rows, as many of each language; every language with a labelled
-    row outside the held-out third is learned. A sample of that third sets the limit.
+    row outside the held-out third is learned, and no row of that third is read. With ``calibrate`` a third as many
+    rows again, of the same kind but kept from the learning, set the limit; without it there is none.
 
     A bit's classifier weighs an n-gram by the log ratio of its mean smoothed share in the languages with
     that bit set and in the others. To the driver come counts per language and n-gram bucket, and one
     small vector per learned row.
     """
     small_batches(docs.sparkSession)
-    sample = stored(_sample(docs, id_col, text_col, lang_col, rows), "langid_sample")
+    sample = stored(_sample(docs, id_col, text_col, lang_col, rows * 4 // 3 if calibrate else rows), "langid_sample")
+    clean = sample.filter("quarter = 0")
+    if calibrate:
+        sample = sample.filter("quarter > 0")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         totals: dict[str, np.ndarray] = {}
@@ -192,8 +197,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     # Less error, more say: half the log odds of being right.
     trust = 0.5 * np.log((1 - np.clip(wrong, 1e-3, 0.499)) / np.clip(wrong, 1e-3, 0.499))
     model = Model(languages, code, raw.weights, lines[:, 0], lines[:, 1], trust / trust.sum() * bits)
-    clean = _sample(docs, id_col, text_col, lang_col, rows, held_out=True).filter(F.col("lang").isin(languages))
-    losses = [model.decode(np.array(e))[3] for e in clean.mapInPandas(
+    if not calibrate:
+        return model
+    losses = [model.decode(np.array(e))[3] for e in clean.filter(F.col("lang").isin(languages)).mapInPandas(
         measure, "lang string, evidence array<double>").toPandas()["evidence"]]
     model.limit = max([BLIND * bits * np.log(2), *(np.quantile(losses, [CLEAN]) if losses else [])])
     return model
@@ -227,7 +233,7 @@ def identify(text: Column, model: Model, spark, ambiguous: float = 0.5) -> Colum
 def known_only(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The rows in a language learned from them, as they are; ``und`` and foreign ones go. If no row is labelled
     nothing can be told, and all texts with a letter stay."""
-    model = fit(docs, text_col=text_col, **options)
+    model = fit(docs, text_col=text_col, calibrate=True, **options)
     if not model.languages:
         return docs.filter(F.col(text_col).rlike(r"\p{L}"))
     told = docs.select(whole_row(docs), identify(F.col(text_col), model, docs.sparkSession).alias("l"))

@@ -48,3 +48,21 @@ def test_rare_languages_are_learned(spark):
     assert told.filter("lang <> l.lang_pred").count() == 0
     sizes = {r.lang: r["count"] for r in langid._sample(frame, "doc_id", "text", "lang", 60).groupBy("lang").count().collect()}
     assert sizes["en"] < 200
+
+
+def test_held_out_rows_change_nothing(spark):
+    docs = read(spark, SF, "documents")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    other = docs.withColumn("text", F.when(held, F.lit(RUSSIAN)).otherwise(F.col("text"))).withColumn(
+        "lang", F.when(held, F.lit("ru")).otherwise(F.col("lang")))
+    for calibrate in (False, True):
+        a, b = (langid.fit(d, calibrate=calibrate) for d in (docs, other))
+        assert a.languages == b.languages and a.limit == b.limit and (a.limit < float("inf")) == calibrate
+        assert (a.weights == b.weights).all() and (a.slope == b.slope).all() and (a.trust == b.trust).all()
+
+
+def test_a_language_of_one_row_is_learned_beside_the_limit(spark):
+    rows = [(i, "the people live in the city and go to work", "en") for i in range(40)]
+    rows += [(i, RUSSIAN, "ru") for i in (100, 102)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert langid.fit(frame, calibrate=True).languages == ["en", "ru"]
