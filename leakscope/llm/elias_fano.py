@@ -129,6 +129,10 @@ class Block:
     def span(self, i: int) -> np.ndarray:
         return self.ids[self.ends[i - 1] if i else 0:self.ends[i]]
 
+    def bounds(self) -> np.ndarray:
+        """Where each document ends, by one select each."""
+        return np.fromiter((self.ends[i] for i in range(self.n)), np.int64, self.n)
+
     def doc_ids(self) -> list[int | None]:
         known = (self.offsets.decode() + np.array(self.least, np.int64).view(np.uint64)).view(np.int64)
         return [None] * self.nulls + known.tolist()
@@ -198,7 +202,7 @@ def read_back(spark: SparkSession, path: str) -> DataFrame:
         for b in batches:
             for part, block, payload in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
                 got = Block(payload.as_buffer())
-                ends = got.ends.decode().astype(np.int64)
+                ends = got.bounds()
                 starts = np.concatenate([[0], ends[:-1]])
                 wide = memoryview(got.ids.astype("<u4")).cast("B")
                 crc = [zlib.crc32(wide[4 * s:4 * e]) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]

@@ -5,7 +5,8 @@ characters that are not white space always starts a new pre-token. So ids of a t
 pieces, each with its leading space, one after the other. Most pieces of a batch were met before; only
 new ones go through the library. Texts in which a space stands beside other white space, or at an end,
 go through it whole. A tokenizer that lower-cases and drops white space gives no ids for the space itself,
-so there any space or line feed is a cut, and pieces that differ in ASCII case only are one.
+so there any space or line feed is a cut, and pieces that differ in ASCII case only are one. A text that holds a
+special token goes through the library whole, as it is, so it gets the ids a plain call gives.
 """
 
 from __future__ import annotations
@@ -41,12 +42,14 @@ class TokenIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
         from tokenizers import Tokenizer
 
+        # For pieces, which hold no special token; folding its case must not make one.
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        # A second one that knows its last special token, which can then stand between pieces.
-        self.splitter = Tokenizer.from_file(path)
-        special = [t for t in self.splitter.get_added_tokens_decoder().items() if t[1].special]
-        self.mark_id, mark = special[-1]
+        # The plain one, for texts with a special token; the last of these can also stand between pieces.
+        self.plain = Tokenizer.from_file(path)
+        added = sorted(self.plain.get_added_tokens_decoder().items())
+        self.added = [t.content for _, t in added]
+        self.mark_id, mark = [t for t in added if t[1].special][-1]
         self.mark = mark.content
         self.folds = self._drops_case_and_space()
         self._reset()
@@ -82,15 +85,16 @@ class TokenIds:
         parts, lengths = [], []
         for at in range(0, len(pieces), JOINED):
             some = pieces[at:at + JOINED]
-            joined = self.splitter.encode_batch_fast([self.mark.join(some)], add_special_tokens=False)[0].ids
+            joined = self.plain.encode_batch_fast([self.mark.join(some)], add_special_tokens=False)[0].ids
             ids = np.array(joined, "<u4")
             marks = np.flatnonzero(ids == self.mark_id)
             parts.append(np.delete(ids, marks))
             lengths.append(np.diff(marks, prepend=-1, append=len(ids)) - 1)
         return (np.concatenate(parts), np.concatenate(lengths)) if parts else self._encode([])
 
-    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encode(self, texts: list[str], plain: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        tokenizer = self.plain if plain else self.tokenizer
+        got = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         lengths = np.fromiter(map(len, got), np.int64, len(got))
         flat = np.fromiter((i for ids in got for i in ids), "<u4", int(lengths.sum()))
         return flat, lengths
@@ -117,6 +121,9 @@ class TokenIds:
         return out
 
     def _slab(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        raw, special = texts, np.zeros(len(texts), bool)
+        for content in self.added:
+            special |= pc.match_substring(raw, content).to_numpy(zero_copy_only=False)
         if self.folds:
             texts = pc.ascii_lower(pc.replace_substring(texts, "\n", " "))
         spaced = pc.split_pattern(texts, " ")
@@ -131,6 +138,7 @@ class TokenIds:
             loose = np.zeros(len(loose), bool)
         ends = np.cumsum(per_text)
         odd = np.add.reduceat(loose[codes], ends - per_text) > 0 if len(codes) else np.zeros(0, bool)
+        odd |= special
         lead = np.zeros(len(codes), bool)
         lead[ends - per_text] = True
         if odd.any():
@@ -160,7 +168,7 @@ class TokenIds:
         counts = np.diff(token_ends[text_ends])
         if not odd.any():
             return flat, counts
-        whole, whole_n = self._encode(texts.filter(pa.array(odd)).to_pylist())
+        whole, whole_n = self._encode(raw.filter(pa.array(odd)).to_pylist(), plain=True)
         parts = [None] * len(texts)
         for idx, ids, n in ((np.flatnonzero(~odd), flat, counts), (np.flatnonzero(odd), whole, whole_n)):
             for i, part in zip(idx, np.split(ids, np.cumsum(n)[:-1]) if len(n) else [], strict=True):

@@ -133,7 +133,6 @@ def contamination(text, items, size=13):
 
 def tokens(texts, name):
     t = Tokenizer.from_file(public_tokenizers.path(name))
-    t.encode_special_tokens = True
     return [e.ids for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 

@@ -337,3 +337,13 @@ def test_pipeline_stages_take_odd_rows(spark, odd, none):
             if name != "packing":
                 assert at.columns == odd.columns
         assert (at.count() > 0) == (table is odd)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_special_tokens_as_the_library_reads_them(name):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y z", "<|ENDOFTEXT|> A", "<|startoftext|>Q  q", "plain text",
+             None, " <|endoftext|>  <|endoftext|> ", "<| endoftext |>"]
+    want = brute.tokens(texts, name)
+    flat, lengths = zip(*token_ids.token_ids(public_tokenizers.path(name)).encode(pa.array(texts, pa.string())), strict=True)
+    got = np.split(np.concatenate(flat), np.cumsum(np.concatenate(lengths))[:-1])
+    assert [g.tolist() for g in got] == want
