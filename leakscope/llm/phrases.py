@@ -28,7 +28,7 @@ from leakscope.llm.common import small_batches, stored
 ENDS, GAPS = b".,;:!?\n\x0b\x0c\r", b"\t"
 FOLD = bytes(10 if b in ENDS else 32 if b in GAPS else b + 32 if 65 <= b <= 90 else b for b in range(256))
 STOP = b"\xff"  # between pieces; no byte of UTF-8 text
-SLAB = 8 << 20  # bytes of text counted at once
+SLAB = 6 << 20  # bytes of text counted at once
 BUCKET = 8 << 20  # characters of text per bucket of runs
 PACKED = "lang string, level int, bucket int, words binary, runs binary"
 
@@ -75,17 +75,17 @@ def pack(lang: str, level: int, rows: np.ndarray, counts: np.ndarray, words: np.
         local = local.reshape(len(part), -1) + (1 if used[0] else 0)
         text = b"\n".join(words[used[used > 0] - 1])
         runs = np.concatenate([local.T.astype("<u4").ravel(), counts[part].astype("<u8").view("<u4")])
-        size = np.array([len(part)], "<u4")
-        yield (lang, level, int(bucket[part[0]]), _deflate(text), size.tobytes() + _deflate(runs.tobytes()))
+        planes = runs.view(np.uint8).reshape(-1, 4).T.tobytes()  # first bytes, then second ones, ...
+        yield lang, level, int(bucket[part[0]]), _deflate(text), len(part).to_bytes(4, "little") + _deflate(planes)
 
 
-def unpack(words: list[bytes], runs: list[bytes], level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows, counts and words of packed rows of one bucket, merged; edges are a word wider than their level."""
+def unpack(words: list[bytes], runs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, counts and words of packed rows of one bucket, merged."""
     texts, rows, counts, at = [], [], [], 0
     for w, r in zip(words, runs, strict=True):
         text = pc.split_pattern(pa.array([_inflate(w)], pa.binary()), "\n").flatten()
         n = int.from_bytes(r[:4], "little")
-        flat = np.frombuffer(_inflate(r[4:]), "<u4")
+        flat = np.ascontiguousarray(np.frombuffer(_inflate(r[4:]), np.uint8).reshape(4, -1).T).view("<u4")[:, 0]
         width = len(flat) // n - 2
         local = flat[:n * width].reshape(width, n).T.astype(np.int64)
         rows.append(np.where(local > 0, local + at, 0))
@@ -141,11 +141,11 @@ def flows(packed: DataFrame, level: int, least: int, buckets: list[int]) -> Data
     """Counts of all runs of ``level`` words, from the packed rows of that level.
 
     Rows ``(lang, phrase, words, n)`` for runs found ``least`` times or more (with the edges, for the top level),
-    and packed rows for the level below. The lowest level also gives the words of each language, as phrase null.
+    and packed rows for the levels below, merged. The lowest level also gives the words of each language, as phrase null.
     """
     def merge(key: tuple, batch: pd.DataFrame) -> pd.DataFrame:
-        lang = key[0]
-        rows, counts, words = unpack(batch["words"].to_list(), batch["runs"].to_list(), level)
+        lang, own = key[0], int(key[1])
+        rows, counts, words = unpack(batch["words"].to_list(), batch["runs"].to_list())
         size, out = len(words) + 1, []
 
         def frequent(rows: np.ndarray, counts: np.ndarray) -> None:
@@ -154,6 +154,9 @@ def flows(packed: DataFrame, level: int, least: int, buckets: list[int]) -> Data
             out.extend((lang, b" ".join(p).decode(), rows.shape[1], int(n), None, None, None, None)
                        for p, n in zip(zip(*names, strict=True), counts[some], strict=True))
 
+        if own < level:  # ends of pieces that the next level counts
+            return frame(list((lang, None, None, None, *p[1:])
+                              for p in pack(lang, own, rows, counts, words, buckets[own], own)))
         if rows.shape[1] > level:
             edge = rows[:, level] > 0
             frequent(rows[edge], counts[edge])
@@ -165,11 +168,13 @@ def flows(packed: DataFrame, level: int, least: int, buckets: list[int]) -> Data
                        for p in pack(lang, level - 1, shorter, total, words, buckets[level - 1], level - 1))
         else:
             out.append((lang, None, 0, int(counts.sum()), None, None, None, None))
+        return frame(out)
+
+    def frame(out: list[tuple]) -> pd.DataFrame:
         return pd.DataFrame(out, columns=["lang", "phrase", "words_", "n", "level", "bucket", "words", "runs"]).astype(
             {"words_": "Int32", "n": "Int64", "level": "Int32", "bucket": "Int32"})
 
-    mine = packed.filter(F.col("level") == level)
-    return mine.groupBy("lang", "bucket").applyInPandas(
+    return packed.groupBy("lang", "level", "bucket").applyInPandas(
         merge, "lang string, phrase string, words_ int, n long, level int, bucket int, words binary, runs binary")
 
 
@@ -245,20 +250,20 @@ def counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", top:
                 if held[lang] >= SLAB:
                     held[lang] = 0
                     yield frame(list(count_slab(lang, b"\n".join(waiting.pop(lang)), top, buckets)))
+                    pa.default_memory_pool().release_unused()
                 elif sum(held.values()) >= 2 * SLAB:  # many small languages
                     for each in list(waiting):
                         yield frame(list(count_slab(each, b"\n".join(waiting.pop(each)), top, buckets)))
                     held.clear()
-        for lang, texts in waiting.items():
-            yield frame(list(count_slab(lang, b"\n".join(texts), top, buckets)))
+        for lang in list(waiting):
+            yield frame(list(count_slab(lang, b"\n".join(waiting.pop(lang)), top, buckets)))
+            pa.default_memory_pool().release_unused()
 
-    packed = stored(rows.mapInPandas(count, PACKED), "packed_runs")
-    frequent, level_rows = [], packed
+    frequent, packed = [], rows.mapInPandas(count, PACKED)
     for level in range(top - 1, 0, -1):
-        got = stored(flows(level_rows, level, least, buckets), f"runs_{level}")
+        got = stored(flows(packed, level, least, buckets), f"runs_{level}")
         frequent.append(got.filter("words_ is not null").select("lang", "phrase", F.col("words_").alias("words"), "n"))
-        level_rows = packed.select("lang", "level", "bucket", "words", "runs").unionByName(
-            got.filter("level is not null").select("lang", "level", "bucket", "words", "runs"))
+        packed = got.filter("level is not null").select("lang", "level", "bucket", "words", "runs")
     edges, nodes = (frequent[0].filter(F.col("words") == w) for w in (top, top - 1))
     paths = stored(compact(edges, nodes, top), "phrase_paths")
     # A path tells the counts of its edges and of the nodes inside it; other nodes keep their own row.
