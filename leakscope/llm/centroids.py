@@ -134,7 +134,8 @@ def cluster(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
                 total[who[order][starts]] += np.add.reduceat(block[order], starts, axis=0)
                 n += np.bincount(who, minlength=len(n))
             some = np.flatnonzero(n)
-            yield pd.DataFrame({"cluster": some, "n": n[some], "total": list(total[some])})
+            if len(some):
+                yield pd.DataFrame({"cluster": some, "n": n[some], "total": list(total[some])})
 
         return sums
 
