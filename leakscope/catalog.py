@@ -17,8 +17,8 @@ from leakscope.functions import columns as C
 from leakscope.functions import text as X
 from leakscope.functions.present import flat
 from leakscope.functions.vectors import cosine
-from leakscope.operators import guard, ivf, keyed, quality, ranking, search, vector_blocks
-from leakscope.operators.anomaly import fitted_scores
+from leakscope.operators import guard, ivf, keyed, neighbours, quality, ranking, search, set_join, vector_blocks
+from leakscope.operators.anomaly import fit_standard, fitted_scores, neighbour_table, standard_rows
 from leakscope.plans import analytics as N
 from leakscope.plans import cache as cache_jobs
 from leakscope.plans import corpus, embedding, orders, scenarios
@@ -287,6 +287,13 @@ def f20_similar_reviews(p: Platform) -> DataFrame:
     return p.star.reviews().filter(similarity >= 0.1).select("review_id", similarity.alias("similarity"))
 
 
+@query
+def f20_similar_pairs(p: Platform) -> DataFrame:
+    """Reviews of an order or document whose id is divisible by 50, against all reviews: the trigram join."""
+    reviews = p.star.reviews().select("review_id", "order_id", "review_comment")
+    return set_join.similar_texts(reviews.filter("order_id % 50 = 0"), reviews, "review_id", "review_comment", 70)
+
+
 @query
 def f21_review_fulltext(p: Platform) -> DataFrame:
     raw, stem = search.query_terms(SEARCH_TEXT)
@@ -541,7 +548,18 @@ def p11_leakage_documents(p: Platform) -> DataFrame:
 
 SOURCE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
                  "embeddings", "pages", "benchmark", "labels", "conversations")
-SYNCED = ("customer", "orders", "lineitem", "part", "supplier", "events")
+# First key columns of each table, for sample rows, and the declared references.
+TABLE_KEYS = {
+    "region": ["r_regionkey"], "nation": ["n_nationkey"], "customer": ["c_custkey"], "supplier": ["s_suppkey"], "part": ["p_partkey"],
+    "orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber"], "events": ["event_id"], "documents": ["doc_id"],
+    "embeddings": ["vec_id"], "pages": ["page_id"], "benchmark": ["item_id"], "labels": ["doc_id"], "conversations": ["conv_id", "turn"],
+}
+REFERENCES = {
+    "nation": ["n_regionkey → region.r_regionkey"], "customer": ["c_nationkey → nation.n_nationkey"],
+    "supplier": ["s_nationkey → nation.n_nationkey"], "orders": ["o_custkey → customer.c_custkey"],
+    "lineitem": ["l_orderkey → orders.o_orderkey", "l_partkey → part.p_partkey", "l_suppkey → supplier.s_suppkey"],
+    "labels": ["doc_id → documents.doc_id"],
+}
 COLUMN_NOTES = {
     "orders.o_orderstatus": "F, O or P", "lineitem.l_discount": "share 0.0-1.0",
     "customer.c_acctbal": "account balance",
@@ -549,7 +567,7 @@ COLUMN_NOTES = {
 
 
 def _catalog(p: Platform) -> DataFrame:
-    return corpus.catalog(p.spark, {t: p.star.raw(t).schema for t in SYNCED}, COLUMN_NOTES)
+    return corpus.catalog(p.spark, {t: p.star.raw(t).schema for t in SOURCE_TABLES}, COLUMN_NOTES)
 
 
 @query
@@ -573,16 +591,22 @@ def p13_table_profile(p: Platform) -> DataFrame:
     return quality.all_checks([quality.column_profile(p.star.raw(t), t) for t in SOURCE_TABLES])
 
 
+def _domains(p: Platform) -> DataFrame:
+    return quality.all_checks([quality.column_domains(p.star.raw(t), t) for t in SOURCE_TABLES])
+
+
+@query
+def p13_column_domains(p: Platform) -> DataFrame:
+    """Text columns with few values and those values, of all tables, from the data."""
+    return _domains(p)
+
+
 @query
 def p13_table_texts(p: Platform) -> DataFrame:
-    keys = {"customer": ["c_custkey"], "orders": ["o_orderkey"], "part": ["p_partkey"], "supplier": ["s_suppkey"]}
-    samples = quality.all_checks([corpus.sample_rows(p.star.raw(t), t, k) for t, k in keys.items()])
+    samples = quality.all_checks([corpus.sample_rows(p.star.raw(t), t, k) for t, k in TABLE_KEYS.items()])
     counts = quality.all_checks([p.star.raw(t).agg(F.count("*").alias("n_rows")).select(
-        F.lit(t).alias("table_name"), "n_rows") for t in keys])
-    columns = corpus.catalog(p.spark, {t: p.star.raw(t).schema for t in keys}, COLUMN_NOTES)
-    return corpus.table_texts(
-        columns, {"orders.o_orderstatus": ("F", "O", "P")}, {"orders": ["o_custkey → customer.c_custkey"]},
-        samples, counts)
+        F.lit(t).alias("table_name"), "n_rows") for t in TABLE_KEYS])
+    return corpus.table_texts(_catalog(p), _domains(p), REFERENCES, samples, counts)
 
 
 EMBED_DIM = 64
@@ -696,14 +720,32 @@ def p19_scores(p: Platform) -> DataFrame:
                                     "anomaly_rank")
 
 
-@query
-def p20_fitted_scores(p: Platform) -> DataFrame:
-    features = p.published("orders").filter(F.col("total_revenue").isNotNull()).select(
+SCORED = ["profit_margin", "avg_discount_pct", "shipping_delay_days", "log_revenue", "logistics_share"]
+NEIGHBOURS = 20
+
+
+def _order_features(p: Platform) -> DataFrame:
+    return p.published("orders").filter(F.col("total_revenue").isNotNull()).select(
         "order_id", "profit_margin", "avg_discount_pct", "shipping_delay_days",
         F.log1p(F.col("total_revenue").cast("double")).alias("log_revenue"),
         C.ratio(F.col("total_logistics"), F.col("total_revenue"), "decimal(12,4)").alias("logistics_share"))
-    return fitted_scores(features, "order_id", [
-        "profit_margin", "avg_discount_pct", "shipping_delay_days", "log_revenue", "logistics_share"])
+
+
+@query
+def p20_fitted_scores(p: Platform) -> DataFrame:
+    return fitted_scores(_order_features(p), "order_id", SCORED, neighbours=NEIGHBOURS)
+
+
+@query
+def p20_neighbour_recall(p: Platform) -> DataFrame:
+    """Every order whose id is divisible by 50, its neighbours among all orders: are nine in ten in the table?"""
+    numeric = _order_features(p).select("order_id", *[F.col(c).cast("double").alias(c) for c in SCORED])
+    standard = fit_standard(numeric, SCORED)
+    rows = standard_rows(numeric, "order_id", standard)
+    asked = rows.filter("order_id % 50 = 0")
+    got = neighbours.recall(neighbour_table(numeric, "order_id", standard, NEIGHBOURS),
+                            neighbours.exact_nearest(rows, asked, "order_id", "v", NEIGHBOURS), "order_id")
+    return got.select("neighbours", (F.col("found") >= 0.9 * F.col("neighbours")).alias("reached"))
 
 
 @query

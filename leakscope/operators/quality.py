@@ -68,3 +68,24 @@ def column_profile(df: DataFrame, table: str) -> DataFrame:
             F.col(f"lo_{i}").alias("least"), F.col(f"hi_{i}").alias("greatest"))
         for i, c in enumerate(plain)])
     return wide.select(F.lit(table).alias("table_name"), F.col("_rows").alias("n_rows"), F.inline(entries))
+
+
+def column_domains(df: DataFrame, table: str, most: int = 12) -> DataFrame:
+    """``(table_name, column_name, n_values, allowed)`` of the text columns with at most ``most`` values; ``allowed`` lists them in
+    order, quoted.
+
+    A first pass estimates the number of values of every column with sketches of fixed size; only columns that may have so few
+    are then gathered, as sets of bounded size, and counted exactly.
+    """
+    names = [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
+    few: list[str] = []
+    if names:
+        guess = df.agg(*[F.approx_count_distinct(c, 0.05).alias(f"d{i}") for i, c in enumerate(names)]).first()
+        few = [c for i, c in enumerate(names) if 0 < guess[f"d{i}"] <= 2 * most]
+    none = F.array().cast("array<struct<column_name:string,values:array<string>>>")
+    sets = df.agg(*[F.array_sort(F.collect_set(c)).alias(f"v{i}") for i, c in enumerate(few)]) if few else df.limit(0).agg(F.count("*"))
+    entries = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"v{i}").alias("values")) for i, c in enumerate(few)]) if few else none
+    quoted = F.transform("values", lambda v: F.concat(F.lit("'"), v, F.lit("'")))
+    return sets.select(F.inline(entries)).filter(F.size("values").between(1, most)).select(
+        F.lit(table).alias("table_name"), "column_name", F.size("values").cast("long").alias("n_values"),
+        F.array_join(quoted, ", ").alias("allowed"))

@@ -2,41 +2,40 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leakscope.session import ensure_checkpoint_dir
+from leakscope.session import ensure_checkpoint_dir, shared_dir
 
 
-def percent_rank_by_value(df: DataFrame, value: str, out: str, blocks: int = 1000) -> DataFrame:
-    """``percent_rank()`` over all rows of a 0..1 score with 6 places.
+def percent_rank_by_value(df: DataFrame, value: str, out: str, ranges: int | None = None) -> DataFrame:
+    """``percent_rank()`` over all rows by a column of any orderable type; NULL ranks first, ties share a rank.
 
-    A window without partitions would sort every row in one task. Here the rows are counted per
-    distinct score (at most 1,000,001 of them, combined before the shuffle); the counts are summed
-    up in ``blocks`` score ranges, then within each range. Joining the ranks back is by score, and
-    ties share a rank as they should.
+    A window without partitions would sort every row in one task. Here the rows are counted per distinct value
+    (combined before the shuffle), the values are dealt into ``ranges`` by sampled bounds, and each range sums up its own
+    counts on top of those of the ranges before it. The dealt counts are a table in the shared folder, because sampled
+    bounds must not change between the two. Joining the ranks back is by value.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("_n"))
-    counts = counts.withColumn("_block", F.floor(F.col(value) * blocks))
-    per_block = counts.groupBy("_block").agg(F.sum("_n").alias("_in_block"))
-    before_block = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # at most blocks + 1 rows reach this single-partition window
-    starts = per_block.select(
-        "_block",
-        F.coalesce(F.sum("_in_block").over(before_block), F.lit(0).cast("bigint")).alias("_before"),
-        F.sum("_in_block").over(everything).alias("_total"),
-    )
-    inside = Window.partitionBy("_block").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = (
-        counts.withColumn("_smaller", F.coalesce(F.sum("_n").over(inside), F.lit(0).cast("bigint")))
-        .join(starts, "_block")
-        .select(
-            value,
-            F.coalesce(F.try_divide(F.col("_before") + F.col("_smaller"), F.col("_total") - 1), F.lit(0.0)).alias(out),
-        )
-    )
-    return df.join(ranks, value, "left")
+    spark = df.sparkSession
+    n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counted = df.groupBy(F.col(value).alias("_v")).agg(F.count("*").alias("_n")).repartitionByRange(
+        n, F.col("_v").asc_nulls_first()).withColumn("_range", F.spark_partition_id())
+    path = f"{shared_dir(spark)}/ranks-{uuid.uuid4().hex[:12]}"
+    counted.write.parquet(path)
+    counts = spark.read.schema(counted.schema).parquet(path)
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # one row per range reaches this single-partition window
+    starts = counts.groupBy("_range").agg(F.sum("_n").alias("_in_range")).select(
+        "_range", F.coalesce(F.sum("_in_range").over(earlier), F.lit(0).cast("bigint")).alias("_before"),
+        F.sum("_in_range").over(everything).alias("_total"))
+    inside = Window.partitionBy("_range").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    smaller = F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0).cast("bigint"))
+    ranks = counts.join(starts, "_range").select(
+        "_v", F.coalesce(F.try_divide(smaller, F.col("_total") - 1), F.lit(0.0)).alias(out))
+    return df.join(ranks, F.col(value).eqNullSafe(F.col("_v")), "left").drop("_v")
 
 
 def last_n(df: DataFrame, key: str, order: str, n: int) -> DataFrame:

@@ -25,6 +25,8 @@ REASON_TOKENS: tuple[tuple[tuple[str, str], ...], ...] = (
     (("statistical_outlier", "statistical_outlier"),),
     (("contradicting_review", "review_contradicts_cancelled"),
      ("shipping_failed", "shipping_failed_review_exists")),
+    # No column tells it, so no rule can; a reason text that names it is believed.
+    (("returned_product_kept", "returned_product_kept"),),
 )
 
 

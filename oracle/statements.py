@@ -119,6 +119,18 @@ SELECT review_id, round(coalesce(shared, 0)::DOUBLE / (coalesce(n, 0) + (SELECT
 
 S["f20_similar_reviews"] = f"SELECT review_id, similarity FROM ({S['f20_trigram_similarity']}) WHERE similarity >= 0.1"
 
+S["f20_similar_pairs"] = """
+WITH t AS (SELECT DISTINCT review_id, order_id, unnest([x FOR x IN regexp_split_to_array(lower(review_comment), '[^\\p{L}\\p{N}]+')
+             IF x <> '']) AS w FROM revs),
+g AS (SELECT DISTINCT review_id, order_id, substr('  ' || w || ' ', i, 3) AS tri
+      FROM (SELECT review_id, order_id, w, unnest(range(1, length(w) + 2)) AS i FROM t)),
+size AS (SELECT review_id, count(*) AS n FROM g GROUP BY 1),
+met AS (SELECT a.review_id AS asked, b.review_id, count(*) AS shared FROM g a JOIN g b ON a.tri = b.tri
+        WHERE a.order_id % 50 = 0 AND a.review_id <> b.review_id GROUP BY 1, 2)
+SELECT asked AS asked_review_id, m.review_id, round(shared::DOUBLE / (x.n + y.n - shared), 6) AS similarity
+FROM met m JOIN size x ON x.review_id = asked JOIN size y ON y.review_id = m.review_id
+WHERE 100 * shared >= 70 * (x.n + y.n - shared)"""
+
 S["j7_latest_review"] = """
 SELECT order_id, rating::DOUBLE AS rating, sentiment, length(review_comment)::INTEGER AS chars FROM lastrev"""
 S["j9_seller_chain"] = """
@@ -246,11 +258,13 @@ S["p12_schema_sync"] = """
 WITH cols AS (
   SELECT table_name, ordinal_position AS pos, column_name || ' (' ||
     CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
-         WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END ||
+         WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+         WHEN 'FLOAT[]' THEN 'array<float>' ELSE lower(data_type) END ||
     CASE table_name || '.' || column_name WHEN 'orders.o_orderstatus' THEN ' - F, O or P'
          WHEN 'lineitem.l_discount' THEN ' - share 0.0-1.0' WHEN 'customer.c_acctbal' THEN ' - account balance' ELSE '' END
     || ')' AS line
-  FROM information_schema.columns WHERE table_name IN ('customer', 'orders', 'lineitem', 'part', 'supplier', 'events'))
+  FROM information_schema.columns WHERE table_name IN ('region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem',
+    'events', 'documents', 'embeddings', 'pages', 'benchmark', 'labels', 'conversations'))
 SELECT table_name AS source_id, 'Auto-synced schema: ' || table_name || chr(10) || chr(10) ||
   string_agg(line, chr(10) ORDER BY pos) AS content, 1 AS n FROM cols GROUP BY 1
 UNION ALL SELECT source_type, '', count(*)::INTEGER FROM docs GROUP BY 1"""
@@ -284,6 +298,16 @@ S["p13_table_profile"] = "\nUNION ALL ".join([
     _profile("labels", "doc_id quality toxic"),
     _profile("conversations", "conv_id turn role text"),
 ])
+_TEXT_COLUMNS = {
+    "region": "r_name", "nation": "n_name", "customer": "c_name c_mktsegment", "supplier": "s_name", "part": "p_name p_brand p_type",
+    "orders": "o_orderstatus o_orderpriority", "lineitem": "l_returnflag l_linestatus", "events": "event_type props",
+    "documents": "text lang source", "pages": "url html", "benchmark": "text", "conversations": "role text",
+}
+S["p13_column_domains"] = "\nUNION ALL ".join(
+    f"""SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) AS n_values,
+  string_agg(chr(39) || {c} || chr(39), ', ' ORDER BY encode({c})) AS allowed
+FROM (SELECT DISTINCT {c} FROM {table} WHERE {c} IS NOT NULL) HAVING count(*) BETWEEN 1 AND 12"""
+    for table, names in _TEXT_COLUMNS.items() for c in names.split())
 _COLLECTION = """CASE embedding_type WHEN 'business_rule' THEN 'business' WHEN 'metric' THEN 'metrics'
   WHEN 'glossary' THEN 'metrics' WHEN 'lineage' THEN 'metrics' WHEN 'review' THEN 'review' ELSE 'schema' END"""
 S["p14_embed_pending"] = f"""
@@ -414,6 +438,9 @@ SELECT doc_id, vector_score AS similarity FROM vecscores JOIN docs USING (doc_id
 S["h10_batch_search"] = """
 SELECT query_id, rank::INTEGER AS rank, doc_id, source_type, bm25_score, vector_score, hybrid_score, priority,
   retrieval_weight::DOUBLE AS retrieval_weight FROM batch"""
+S["p20_neighbour_recall"] = """
+SELECT (count(*) FILTER (WHERE order_id % 50 = 0) * least(20, count(*) - 1))::BIGINT AS neighbours, true AS reached
+FROM ords WHERE total_revenue IS NOT NULL"""
 S["h9_ivf_recall"] = """
 SELECT count(*) FILTER (WHERE doc_id % 50 = 0) * least(10, count(*)) AS neighbours, true AS reached
 FROM embeddings JOIN docs ON docs.doc_id = embeddings.vec_id"""

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -46,6 +48,21 @@ def test_percent_rank_of_one_row(spark):
     assert ranking.percent_rank_by_value(df, "x", "r").first().r == 0.0
 
 
+@pytest.mark.parametrize("kind", ["double", "decimal(12,3)", "string", "timestamp", "bigint"])
+def test_percent_rank_of_any_type(spark, kind):
+    rnd = random.Random(kind)
+    values = [None, None, -5.0, 0.0, 0.0, 1e6, 2000.0] + [float(rnd.randint(-300, 300)) for _ in range(300)] + [7.0] * 150
+    df = spark.createDataFrame(list(enumerate(values)), "i int, d double")
+    x = F.timestamp_seconds("d") if kind == "timestamp" else F.col("d").cast(kind)
+    df = df.select("i", x.alias("x")).repartition(5)
+    if kind == "double":
+        df = df.unionByName(spark.createDataFrame([(9000, float("nan")), (9001, float("inf")), (9002, -0.0)], df.schema))
+    want = {t.i: t.r for t in df.withColumn("r", F.percent_rank().over(Window.orderBy("x"))).collect()}
+    for ranges in (1, 4, 50):
+        assert {t.i: t.r for t in ranking.percent_rank_by_value(df, "x", "r", ranges).collect()} == want
+    assert ranking.percent_rank_by_value(df.filter("false"), "x", "r").count() == 0
+
+
 def test_numbering_spreads_a_hot_key(spark):
     # one key holds two thirds of all rows
     data = [("hot", i // 2) for i in range(2000)] + [(f"k{i % 300}", i) for i in range(1000)]

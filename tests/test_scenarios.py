@@ -46,3 +46,13 @@ def test_null_facts_fire_no_rule(spark):
     flags = spark.createDataFrame([(1, 1)], "order_id int, anomaly_flag int")
     got = {r.order_id: r.scenarios for r in scenarios.rule_scenarios(inputs, flags).collect()}
     assert got == {1: ["statistical_outlier"], 2: ["no_leakage"]}
+
+
+def test_a_reason_text_that_names_a_kept_return_is_believed(spark):
+    from pyspark.sql import functions as F
+
+    from leakscope.plans import scenarios
+
+    rows = spark.createDataFrame([(1, "Returned product kept|Never shipped"), (1, "No invoice"), (0, "Returned product kept")], "flag int, raw string")
+    got = rows.select(scenarios.reason_scenarios(scenarios.normalise_reason(F.col("flag"), F.col("raw"))).alias("s")).collect()
+    assert [r.s for r in got] == [["payment_approved_never_shipped", "returned_product_kept"], ["no_invoice_on_completion"], ["no_leakage"]]
