@@ -1,7 +1,8 @@
 """Personal data spans: generous generators propose overlapping candidates, boosted trees over format and
 context choose among them, and checked formats always count.
 
-All of it is SQL functions. Trees are fitted on a table of counts per feature cell, whose size is bounded
+What the trees learn from is labelled by checks: base matches by theirs, looser forms by the arithmetic of
+their kind, and each base match once more as it would look in its looser form. All of it is SQL functions. Trees are fitted on a table of counts per feature cell, whose size is bounded
 by the product of the features' bins, and applied as CASE expressions.
 """
 
@@ -41,18 +42,22 @@ COUNTER_CUES = r"(?i)(?:token|key|hash|id|ref|order|version|isbn|serial|no)\W*$"
 # Characters of context a feature may look at.
 CONTEXT = 24
 
-FEATURES = {"kind": 4, "digits": 8, "marks": 5, "lead": 4, "left": 5, "right": 5, "cue": 3, "loose": 2}
+FEATURES = {"kind": 4, "digits": 8, "marks": 5, "lead": 4, "left": 5, "right": 5, "cue": 3, "loose": 2, "fits": 2}
 
 
 @dataclass(frozen=True)
 class PiiParams:
-    """Boosting rounds, step, ridge, and the precision that a threshold must reach on the other half of the
-    documents."""
+    """Boosting rounds, step, ridge (against the weight 1 of all rows of a kind and form), and the precision
+    that a threshold must reach on the other half of the documents: ``precision`` for matches that fail a
+    check, ``loose_precision`` for looser forms. ``prior`` is how many rows the trees' own probability counts as.
+    """
 
     rounds: int = 20
     step: float = 0.3
-    ridge: float = 1.0
+    ridge: float = 0.01
     precision: float = 0.995
+    loose_precision: float = 0.95
+    prior: float = 2.0
 
 
 def _found(text: Column, pattern: str) -> Column:
@@ -73,10 +78,12 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, th, kind, loose, start, stop, valid, features...)``: every match of every generator.
+    """``(doc_id, th, kind, loose, start, stop, valid, made, fits, truth, features...)``: every match of every generator.
 
     Offsets are code points. The text is read once by all generators; only matches are shuffled, by
-    document. ``valid``: a base match that passes its check. Rows of equal id and text count once.
+    document. ``valid``: a base match that passes its check. ``made``: not found in the text, but a base match
+    rewritten in its looser form, to learn from. ``fits``: 0 for a looser form that fails its check.
+    ``truth``: what a candidate is known to be, null if nothing tells. Rows of equal id and text count once.
     """
     text = F.col(text_col)
     gens = []
@@ -95,22 +102,64 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     length = F.char_length("match")
     upto = Window.partitionBy("doc_id", "th", "kind", "loose").orderBy("pos")
     placed = rows.withColumn("stop", F.sum(F.col("gap") + length).over(upto)).withColumn("start", F.col("stop") - length)
+    # A looser phone number that begins in a match of another kind is a part of that match.
+    other = F.max(F.when((F.col("loose") == 0) & (F.col("kind") != 3), F.col("stop"))).over(
+        Window.partitionBy("doc_id", "th").orderBy("start", "loose", "kind"))
+    checked = placed.withColumn("inside", F.coalesce(other > F.col("start"), F.lit(False))).withColumn(
+        "valid", (F.col("loose") == 0) & _check(F.col("kind"), F.col("match")))
+    forms = checked.select(
+        "doc_id", "th", "kind", "start", "stop", "valid", "inside", "left", "right", F.explode(F.filter(F.array(
+            F.struct(F.lit(0).alias("made"), F.col("loose"), F.col("match")),
+            F.struct(F.lit(1).alias("made"), F.lit(1).alias("loose"), F.when(F.col("loose") == 0, _loosened()).alias("match"))),
+            lambda f: f["match"].isNotNull())).alias("f")).select("*", "f.*")
+    counter = F.col("left").rlike(COUNTER_CUES)
+    fits = F.when(F.col("loose") == 0, F.lit(True)).otherwise(_loose_check(F.col("kind"), F.col("match"), counter))
+    truth = (F.when(F.col("made") == 1, F.col("valid") & fits).when(F.col("loose") == 0, F.col("valid"))
+             .when(F.col("kind") < 3, fits).when(F.col("inside"), F.lit(False)))
     digits = F.regexp_replace("match", "[^0-9]", "")
     n = F.char_length(digits)
-    valid = (F.when(F.col("loose") == 1, F.lit(False)).when(F.col("kind") == 0, F.lit(True))
-             .when(F.col("kind") == 1, F.col("match").rlike(rf"^{_BYTE}(?:\.{_BYTE}){{3}}$"))
-             .when(F.col("kind") == 2, F.when(n.between(14, 19), F.call_function("luhn_check", digits)).otherwise(F.lit(False)))
-             .otherwise(n.between(10, 15)))
     marks = F.regexp_replace("match", "[A-Za-z0-9]", "")
-    return placed.select(
-        "doc_id", "th", "kind", "loose", "start", "stop", valid.alias("valid"),
+    return forms.select(
+        "doc_id", "th", "kind", "loose", "start", "stop", ((F.col("made") == 0) & F.col("valid")).alias("valid"),
+        "made", fits.cast("int").alias("fits"), truth.alias("truth"),
         (sum((n >= b).cast("int") for b in (8, 10, 12, 14, 16, 17, 20))).alias("digits"),
         F.when(marks == "", 0).when(~marks.rlike("[^ ]"), 1).when(~marks.rlike("[^-]"), 2)
         .when(~marks.rlike("[^.]"), 3).otherwise(4).alias("marks"),
         F.when(F.col("match").startswith("+"), 0).when(F.col("match").startswith("("), 1)
         .when(F.col("match").rlike("^[0-9]"), 2).otherwise(3).alias("lead"),
         _side(F.substring("left", -1, 1)).alias("left"), _side(F.col("right")).alias("right"),
-        F.when(F.col("left").rlike(CUES), 2).when(F.col("left").rlike(COUNTER_CUES), 1).otherwise(0).alias("cue"))
+        F.when(F.col("left").rlike(CUES), 2).when(counter, 1).otherwise(0).alias("cue"))
+
+
+def _check(kind: Column, match: Column) -> Column:
+    """Whether a base match passes the check of its kind."""
+    digits = F.regexp_replace(match, "[^0-9]", "")
+    n = F.char_length(digits)
+    return (F.when(kind == 0, F.lit(True)).when(kind == 1, match.rlike(rf"^{_BYTE}(?:\.{_BYTE}){{3}}$"))
+            .when(kind == 2, F.when(n.between(14, 19), F.call_function("luhn_check", digits)).otherwise(F.lit(False)))
+            .otherwise(n.between(10, 15)))
+
+
+def _loose_check(kind: Column, match: Column, counter: Column) -> Column:
+    """The check of a looser form: a last domain label of letters, bytes, Luhn's sum; a phone number has
+    9 to 12 digits and no word before it that names another number."""
+    digits = F.regexp_replace(match, "[^0-9]", "")
+    return (F.when(kind == 0, match.rlike(r"[.\x20\])][A-Za-z]{2,24}$"))
+            .when(kind == 1, F.regexp_replace(match, r"\[\.\]", ".").rlike(rf"^{_BYTE}(?:\.{_BYTE}){{3}}$"))
+            .when(kind == 2, F.when(F.char_length(digits).between(14, 19), F.call_function("luhn_check", digits))
+                  .otherwise(F.lit(False)))
+            .otherwise(F.char_length(digits).between(9, 12) & ~counter))
+
+
+def _loosened() -> Column:
+    """A base match as it would look in the looser form of its kind; null where it has none."""
+    match, kind = F.col("match"), F.col("kind")
+    digits = F.regexp_replace(match, "[^0-9]", "")
+    bare = F.regexp_replace(match, r"^\+[0-9]{1,3}[\x20.-]?", "")
+    return (F.when(kind == 0, F.regexp_replace(F.replace(match, F.lit("@"), F.lit(" [at] ")), r"\.(?=[A-Za-z0-9-]+$)", " [dot] "))
+            .when(kind == 1, F.replace(match, F.lit("."), F.lit("[.]")))
+            .when((kind == 2) & F.char_length(digits).between(15, 16), F.regexp_replace(digits, "(?<=^(?:[0-9]{4}){1,3})(?=[0-9])", "."))
+            .when((kind == 3) & bare.rlike(f"^(?:{LOOSE['phone']})$"), bare))
 
 
 def _side(char: Column) -> Column:
@@ -124,20 +173,20 @@ Tree = float | tuple
 
 @dataclass
 class Model:
-    """Sum of trees, and the margin from which each kind of candidate is taken."""
+    """Sum of trees, and the margin from which candidates of a kind and form (0: base, 1: looser) are taken."""
 
     bias: float
     trees: list[Tree]
-    thresholds: dict[int, float]
+    thresholds: dict[tuple[int, int], float]
 
     def margin(self) -> Column:
         return sum((_as_case(t) for t in self.trees), F.lit(self.bias))
 
     def selected(self) -> Column:
         out = F.lit(False)
-        for kind, least in self.thresholds.items():
-            out = F.when(F.col("kind") == kind, self.margin() >= least).otherwise(out)
-        return out
+        for (kind, loose), least in self.thresholds.items():
+            out = F.when((F.col("kind") == kind) & (F.col("loose") == loose), self.margin() >= least).otherwise(out)
+        return out & (F.col("fits") == 1)
 
 
 def _as_case(tree: Tree) -> Column:
@@ -176,47 +225,54 @@ def _apply(tree: Tree, x: np.ndarray, names: list[str]) -> np.ndarray:
 
 
 def fit(found: DataFrame, params: PiiParams | None = None) -> Model:
-    """Boosted trees that tell base matches that pass their check from those that fail it, by form and context.
+    """Boosted trees that tell true candidates from false ones by form and context.
 
-    The check itself is no feature. One half of the documents (by the hash of their text) is fitted, the
-    other sets each kind's threshold: the least margin at which the share of passing matches reaches
-    ``precision``. A kind that never reaches it gets no further spans.
+    The check of a base match is no feature, that of a looser form is one and must hold as well. One half of the documents (by the hash of their text) is fitted; all
+    rows of a kind and form weigh 1 together, so neither their number nor that of other kinds matters. The
+    other half sets the threshold of each kind and form: the least margin at which the share of true
+    candidates, the trees' own probability counted as ``prior`` rows, reaches the precision asked for, never below even odds. A kind
+    and form that never reaches it, or has no labelled row, gets no further spans.
     """
     p = params or PiiParams()
     names = list(FEATURES)
     half = F.pmod(F.col("th"), F.lit(2))
-    cells = found.filter(F.col("loose") == 0).groupBy(*names).agg(*[
-        F.count_if((F.col("valid") == v) & (half == h)).alias(f"n{int(v)}_{h}") for h in (0, 1) for v in (False, True)])
+    cells = found.filter(F.col("truth").isNotNull()).groupBy(*names).agg(*[
+        F.count_if((F.col("truth") == v) & (half == h)).alias(f"n{int(v)}_{h}") for h in (0, 1) for v in (False, True)])
     got = cells.collect()  # at most one row per combination of bins
     if len(got) > prod(FEATURES.values()):
         raise ValueError("a feature left its bins")
     x = np.array([[r[n] for n in names] for r in got], np.int64).reshape(len(got), len(names))
     bad, good = (np.array([r[f"n{v}_0"] for r in got], np.float64) for v in (0, 1))
-    share = (good.sum() + 1) / (good.sum() + bad.sum() + 2)
+    form = np.array([2 * r["kind"] + r["loose"] for r in got], np.int64)
+    weight = np.bincount(form, bad + good, 2 * len(KINDS))[form]
+    bad, good = (np.divide(v, weight, out=np.zeros_like(v), where=weight > 0) for v in (bad, good))
+    share = (good.sum() + p.ridge) / (good.sum() + bad.sum() + 2 * p.ridge)
     bias = float(np.log(share / (1 - share)))
     margin, trees = np.full(len(got), bias), []
     for _ in range(p.rounds if len(got) else 0):
         prob = 1 / (1 + np.exp(-margin))
-        tree = _grow(x, names, (good + bad) * prob - good, (good + bad) * prob * (1 - prob), 2, p)
+        tree = _grow(x, names, (good + bad) * prob - good, (good + bad) * prob * (1 - prob), 3, p)
         trees.append(tree)
         margin += _apply(tree, x, names)
     thresholds = {}
-    for kind in range(len(KINDS)):
-        own = [(float(m), r["n0_1"], r["n1_1"]) for m, r in zip(margin, got, strict=True) if r["kind"] == kind]
+    for key in sorted(set(form.tolist())):
+        kind, loose = divmod(key, 2)
+        wanted = p.loose_precision if loose else p.precision
+        rows = sorted(((float(m), r["n0_1"], r["n1_1"]) for m, r, f in zip(margin, got, form, strict=True) if f == key), reverse=True)
         fails = passes = 0
-        rows = sorted(own, reverse=True)
         for i, (m, b, g) in enumerate(rows):
             fails, passes = fails + b, passes + g
             tied = i + 1 < len(rows) and rows[i + 1][0] == m
-            if not tied and passes / (passes + fails + 1) >= p.precision:
-                thresholds[kind] = m - 1e-9
+            expected = (passes + p.prior / (1 + np.exp(-m))) / (passes + fails + p.prior)
+            if not tied and passes and m > 0 and expected >= wanted:
+                thresholds[kind, loose] = m - 1e-9
     return Model(bias, trees, thresholds)
 
 
 def spans(found: DataFrame, model: Model) -> DataFrame:
     """``(doc_id, th, kind, start, stop, valid)``: all passing base matches, and of the others those the trees
     take. Where candidates overlap, a passing base match stands, else the best of them does."""
-    taken = found.withColumn("margin", model.margin()).filter(F.col("valid") | model.selected())
+    taken = found.filter("made = 0").withColumn("margin", model.margin()).filter(F.col("valid") | model.selected())
     doc = Window.partitionBy("doc_id", "th")
     order = doc.orderBy("start", "stop", "kind", "loose")
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
