@@ -49,7 +49,7 @@ FEATURES = {"kind": 4, "digits": 8, "marks": 5, "lead": 4, "left": 5, "right": 5
 class PiiParams:
     """Boosting rounds, step, ridge (against the weight 1 of all rows of a kind and form), and the precision
     that a threshold must reach on the other half of the documents: ``precision`` for matches that fail a
-    check, ``loose_precision`` for looser forms. ``prior`` is how many rows the trees' own probability counts as.
+    check, ``loose_precision`` for looser forms. ``prior`` is what the trees' own probability weighs beside the share counted there.
     """
 
     rounds: int = 20
@@ -57,7 +57,7 @@ class PiiParams:
     ridge: float = 0.01
     precision: float = 0.995
     loose_precision: float = 0.95
-    prior: float = 2.0
+    prior: float = 0.02
 
 
 def _found(text: Column, pattern: str) -> Column:
@@ -230,7 +230,7 @@ def fit(found: DataFrame, params: PiiParams | None = None) -> Model:
     The check of a base match is no feature, that of a looser form is one and must hold as well. One half of the documents (by the hash of their text) is fitted; all
     rows of a kind and form weigh 1 together, so neither their number nor that of other kinds matters. The
     other half sets the threshold of each kind and form: the least margin at which the share of true
-    candidates, the trees' own probability counted as ``prior`` rows, reaches the precision asked for, never below even odds. A kind
+    candidates, averaged with the trees' own probability, reaches the precision asked for, never below even odds. A kind
     and form that never reaches it, or has no labelled row, gets no further spans.
     """
     p = params or PiiParams()
@@ -263,7 +263,7 @@ def fit(found: DataFrame, params: PiiParams | None = None) -> Model:
         for i, (m, b, g) in enumerate(rows):
             fails, passes = fails + b, passes + g
             tied = i + 1 < len(rows) and rows[i + 1][0] == m
-            expected = (passes + p.prior / (1 + np.exp(-m))) / (passes + fails + p.prior)
+            expected = (passes / max(passes + fails, 1) + p.prior / (1 + np.exp(-m))) / (1 + p.prior)
             if not tied and passes and m > 0 and expected >= wanted:
                 thresholds[kind, loose] = m - 1e-9
     return Model(bias, trees, thresholds)
