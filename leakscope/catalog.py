@@ -17,7 +17,7 @@ from leakscope.functions import columns as C
 from leakscope.functions import text as X
 from leakscope.functions.present import flat
 from leakscope.functions.vectors import cosine
-from leakscope.operators import guard, ivf, keyed, neighbours, quality, ranking, search, set_join, vector_blocks
+from leakscope.operators import guard, ivf, keyed, neighbours, postings, quality, ranking, search, set_join, vector_blocks
 from leakscope.operators.anomaly import fit_standard, fitted_scores, neighbour_table, standard_rows
 from leakscope.plans import analytics as N
 from leakscope.plans import cache as cache_jobs
@@ -252,20 +252,18 @@ def f15_lexemes(p: Platform) -> DataFrame:
 
 @query
 def f16_text_match(p: Platform) -> DataFrame:
-    raw, stem = search.query_terms(SEARCH_TEXT)
-    lex = F.col("content_tsv")
-    return p.published("documents").select(
-        "doc_id", X.contains_all(lex, raw).alias("raw_match"), X.contains_all(lex, stem).alias("stem_match"))
+    """All documents; those that match are known from the positions of the terms."""
+    found = postings.matches(p.published("postings"), *search.query_terms(SEARCH_TEXT), active=False).select(
+        "doc_id", "raw_match", "stem_match")
+    return p.published("documents").select("doc_id").join(found, "doc_id", "left").select(
+        "doc_id", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("raw_match", "stem_match")])
 
 
 @query
 def f17_cover_rank(p: Platform) -> DataFrame:
     """Cover density of every matching document, no limit."""
-    raw, stem = search.query_terms(SEARCH_TEXT)
-    lex = F.col("content_tsv")
-    terms = [F.array(*[F.lit(t) for t in ts]) for ts in (raw, stem)]
-    return p.published("documents").filter(X.contains_all(lex, raw) | X.contains_all(lex, stem)).select(
-        "doc_id", X.cover_density(lex, *terms).alias("rank"))
+    found = postings.matches(p.published("postings"), *search.query_terms(SEARCH_TEXT), active=False)
+    return found.select("doc_id", F.col("bm25_score").alias("rank"))
 
 
 @query
@@ -691,7 +689,8 @@ def p16_cache_invalidation(p: Platform) -> DataFrame:
 
 def _answer(p: Platform) -> tuple[DataFrame, DataFrame]:
     def run(missing: DataFrame) -> DataFrame:
-        return search.batch_search(p.published("documents"), p.published("embeddings"), missing, k=BATCH_K)
+        return search.batch_search(p.published("documents"), p.published("embeddings"), missing, k=BATCH_K,
+                                   postings=p.published("postings"))
 
     return cache_jobs.answer(_queries(p), _stored_cache(p), run, _as_of(), BATCH_PARAMS)
 
@@ -787,7 +786,7 @@ def _hits(df: DataFrame) -> DataFrame:
 
 @query
 def h1_keyword_leg(p: Platform) -> DataFrame:
-    return search.keyword_hits(p.published("documents"), SEARCH_TEXT, 24)
+    return search.keyword_hits(p.published("documents"), SEARCH_TEXT, 24, postings=p.published("postings"))
 
 
 @query
@@ -798,27 +797,31 @@ def h2_vector_leg(p: Platform) -> DataFrame:
 @query
 def h3_hybrid_no_cap(p: Platform) -> DataFrame:
     return _hits(search.hybrid_search(p.published("documents"), p.published("embeddings"), SEARCH_TEXT,
-                                      _probe_vector(p), k=48, per_type_cap=None))
+                                      _probe_vector(p), k=48, per_type_cap=None, postings=p.published("postings")))
 
 
 @query
 def h4_hybrid_search(p: Platform) -> DataFrame:
-    return _hits(search.hybrid_search(p.published("documents"), p.published("embeddings"), SEARCH_TEXT, _probe_vector(p)))
+    return _hits(search.hybrid_search(p.published("documents"), p.published("embeddings"), SEARCH_TEXT, _probe_vector(p),
+                                      postings=p.published("postings")))
 
 
 @query
 def h4_hybrid_keyword_only(p: Platform) -> DataFrame:
-    return _hits(search.hybrid_search(p.published("documents"), p.published("embeddings"), SEARCH_TEXT))
+    return _hits(search.hybrid_search(p.published("documents"), p.published("embeddings"), SEARCH_TEXT,
+                                      postings=p.published("postings")))
 
 
 @query
 def h5_search_analytics(p: Platform) -> DataFrame:
-    return _hits(search.search_analytics(p.published("documents"), p.published("embeddings"), SEARCH_TEXT, _probe_vector(p)))
+    return _hits(search.search_analytics(p.published("documents"), p.published("embeddings"), SEARCH_TEXT, _probe_vector(p),
+                                         postings=p.published("postings")))
 
 
 @query
 def h6_search_reviews(p: Platform) -> DataFrame:
-    return _hits(search.search_reviews(p.published("documents"), p.published("embeddings"), REVIEW_TEXT, _probe_vector(p)))
+    return _hits(search.search_reviews(p.published("documents"), p.published("embeddings"), REVIEW_TEXT, _probe_vector(p),
+                                       postings=p.published("postings")))
 
 
 @query
@@ -829,7 +832,8 @@ def h7_semantic_search(p: Platform) -> DataFrame:
 
 @query
 def h8_unweighted_search(p: Platform) -> DataFrame:
-    return search.unweighted_search(p.published("documents"), p.published("embeddings"), SEARCH_TEXT, _probe_vector(p))
+    return search.unweighted_search(p.published("documents"), p.published("embeddings"), SEARCH_TEXT, _probe_vector(p),
+                                    postings=p.published("postings"))
 
 
 def _asked(celled: DataFrame, remainder: int) -> DataFrame:
@@ -875,22 +879,25 @@ def h9_ivf_recall(p: Platform) -> DataFrame:
 
 @query
 def h10_batch_search(p: Platform) -> DataFrame:
-    return search.batch_search(p.published("documents"), p.published("embeddings"), _queries(p))
+    return search.batch_search(p.published("documents"), p.published("embeddings"), _queries(p),
+                               postings=p.published("postings"))
 
 
 @query
 def h10_batch_analytics(p: Platform) -> DataFrame:
-    return search.batch_search_analytics(p.published("documents"), p.published("embeddings"), _queries(p))
+    return search.batch_search_analytics(p.published("documents"), p.published("embeddings"), _queries(p),
+                               postings=p.published("postings"))
 
 
 @query
 def h10_batch_reviews(p: Platform) -> DataFrame:
-    return search.batch_search_reviews(p.published("documents"), p.published("embeddings"), _queries(p))
+    return search.batch_search_reviews(p.published("documents"), p.published("embeddings"), _queries(p),
+                               postings=p.published("postings"))
 
 
 @query
 def h10_batch_keyword(p: Platform) -> DataFrame:
-    return search.batch_keyword_hits(p.published("documents"), _queries(p), 24)
+    return search.batch_keyword_hits(p.published("documents"), _queries(p), 24, postings=p.published("postings"))
 
 
 @query

@@ -61,7 +61,6 @@ def cover_density(lexeme_list: Column, raw_terms: Column, stem_terms: Column) ->
     ``hit number * 2^31 + position``; the latest span start that still satisfies the query is then
     the least last hit over the terms. A span is minimal when its start moved forward.
     """
-    base = F.lit(_SHIFT).cast("bigint")
     hits = F.filter(
         F.transform(
             lexeme_list,
@@ -73,6 +72,13 @@ def cover_density(lexeme_list: Column, raw_terms: Column, stem_terms: Column) ->
         ),
         lambda h: (h["a"] > 0) | (h["b"] > 0),
     )
+    return cover_density_of(hits, raw_terms, stem_terms)
+
+
+def cover_density_of(hits: Column, raw_terms: Column, stem_terms: Column) -> Column:
+    """:func:`cover_density` of ready hits: ``(pos, a, b)`` in order of position, ``a`` and ``b`` the place of the
+    word among the raw terms and the stems, 0 for none."""
+    base = F.lit(_SHIFT).cast("bigint")
     numbered = F.transform(
         hits,
         lambda h, n: F.struct((n.cast("bigint") * base + h["pos"]).alias("key"), h["a"].alias("a"), h["b"].alias("b")),

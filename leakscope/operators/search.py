@@ -1,5 +1,8 @@
 """Keyword, vector and hybrid search over the document corpus, one query or many at a time.
 
+Searches take the stored word positions of :mod:`leakscope.operators.postings`: then the keyword leg reads
+the rows of its terms there, and no lexeme list. Without them it reads the lists.
+
 ``documents`` carries ``content_tsv``, the stored lexeme list; ``embeddings`` has one vector per
 document. A single query is a scan with a top-k per leg. A batch finds its keyword candidates by
 each query's rarest term and its vector hits by block products with a bounded top-k per task. Where the
@@ -17,6 +20,7 @@ from pyspark.sql import functions as F
 
 from leakscope.functions import text as X
 from leakscope.functions.vectors import cosine_scores
+from leakscope.operators import postings as P
 from leakscope.operators import vector_blocks
 from leakscope.operators.ranking import top_per_group
 
@@ -57,9 +61,13 @@ def _vectors_of(embeddings: DataFrame, types: Sequence[str] | None) -> DataFrame
     return embeddings.filter(F.col("source_type").isin(list(types)))
 
 
-def keyword_hits(documents: DataFrame, query: str, k: int, types: Sequence[str] | None = None) -> DataFrame:
+def keyword_hits(documents: DataFrame, query: str, k: int, types: Sequence[str] | None = None,
+                 postings: DataFrame | None = None) -> DataFrame:
     """The best ``k`` active documents that hold all raw terms or all stems, by cover density."""
     raw, stemmed = query_terms(query)
+    if postings is not None:
+        return P.matches(postings, raw, stemmed, types).drop("raw_match", "stem_match").orderBy(
+            F.desc("bm25_score"), "doc_id").limit(k)
     lex = F.col("content_tsv")
     matching = _searchable(documents, types).filter(X.contains_all(lex, raw) | X.contains_all(lex, stemmed))
     literal = [F.array(*[F.lit(t) for t in terms]) if terms else F.array().cast("array<string>")
@@ -118,13 +126,14 @@ def _result_rows(ranked: DataFrame, documents: DataFrame, order: list[Column]) -
 
 def hybrid_search(documents: DataFrame, embeddings: DataFrame, query: str, vector: Sequence[float] | None = None,
                   types: Sequence[str] | None = None, k: int = 8, vector_weight: float = VECTOR_WEIGHT,
-                  keyword_weight: float = KEYWORD_WEIGHT, per_type_cap: int | None = PER_TYPE_CAP) -> DataFrame:
+                  keyword_weight: float = KEYWORD_WEIGHT, per_type_cap: int | None = PER_TYPE_CAP,
+                  postings: DataFrame | None = None) -> DataFrame:
     """Top ``k`` documents by blended keyword and vector score, at most ``per_type_cap`` per source type.
 
     Without a query vector the vector leg is left out instead of being filled with arbitrary rows.
     """
     leg = OVER_FETCH * k
-    words = keyword_hits(documents, query, leg, types)
+    words = keyword_hits(documents, query, leg, types, postings)
     if vector is None:
         near = words.select("doc_id", "source_type", "retrieval_weight", "priority",
                             F.lit(0.0).alias("vector_score")).limit(0)
@@ -138,14 +147,15 @@ def hybrid_search(documents: DataFrame, embeddings: DataFrame, query: str, vecto
 
 
 def search_analytics(documents: DataFrame, embeddings: DataFrame, query: str,
-                     vector: Sequence[float] | None = None, k: int = 8) -> DataFrame:
-    return hybrid_search(documents, embeddings, query, vector, ANALYTICS_TYPES, k)
+                     vector: Sequence[float] | None = None, k: int = 8, postings: DataFrame | None = None) -> DataFrame:
+    return hybrid_search(documents, embeddings, query, vector, ANALYTICS_TYPES, k, postings=postings)
 
 
 def search_reviews(documents: DataFrame, embeddings: DataFrame, query: str,
-                   vector: Sequence[float] | None = None, k: int = 5, per_type_cap: int | None = PER_TYPE_CAP) -> DataFrame:
+                   vector: Sequence[float] | None = None, k: int = 5, per_type_cap: int | None = PER_TYPE_CAP,
+                   postings: DataFrame | None = None) -> DataFrame:
     """Review search. The cap per type also holds here, so it gives at most two rows by default."""
-    return hybrid_search(documents, embeddings, query, vector, ("review",), k, per_type_cap=per_type_cap)
+    return hybrid_search(documents, embeddings, query, vector, ("review",), k, per_type_cap=per_type_cap, postings=postings)
 
 
 def semantic_search(documents: DataFrame, embeddings: DataFrame, vector: Sequence[float], k: int = 5,
@@ -158,14 +168,17 @@ def semantic_search(documents: DataFrame, embeddings: DataFrame, vector: Sequenc
 
 
 def unweighted_search(documents: DataFrame, embeddings: DataFrame, query: str, vector: Sequence[float],
-                      k: int = 8) -> DataFrame:
+                      k: int = 8, postings: DataFrame | None = None) -> DataFrame:
     """Blend without leg limits, document weight or type cap; raw terms only, ties by priority."""
     raw, _ = query_terms(query)
-    lex = F.col("content_tsv")
-    terms = F.array(*[F.lit(t) for t in raw])
-    words = _searchable(documents, None).filter(X.contains_all(lex, raw)).select(
-        "doc_id", "source_type", "retrieval_weight", "priority",
-        X.cover_density(lex, terms, F.array().cast("array<string>")).alias("bm25_score"))
+    if postings is not None:
+        words = P.matches(postings, raw, []).drop("raw_match", "stem_match")
+    else:
+        lex = F.col("content_tsv")
+        terms = F.array(*[F.lit(t) for t in raw])
+        words = _searchable(documents, None).filter(X.contains_all(lex, raw)).select(
+            "doc_id", "source_type", "retrieval_weight", "priority",
+            X.cover_density(lex, terms, F.array().cast("array<string>")).alias("bm25_score"))
     fused = _fuse(words, vector_hits(documents, embeddings, vector, None), ["doc_id"], VECTOR_WEIGHT, KEYWORD_WEIGHT,
                   weighted=False)
     return fused.orderBy(*_best()).limit(k).select(
@@ -175,12 +188,15 @@ def unweighted_search(documents: DataFrame, embeddings: DataFrame, query: str, v
 # ---- many queries at once --------------------------------------------------------------------------
 
 
-def batch_keyword_hits(documents: DataFrame, queries: DataFrame, k: int, types: Sequence[str] | None = None) -> DataFrame:
+def batch_keyword_hits(documents: DataFrame, queries: DataFrame, k: int, types: Sequence[str] | None = None,
+                       postings: DataFrame | None = None) -> DataFrame:
     """Best ``k`` keyword matches of every (query_id, query_text).
 
     A match must hold all terms, so it holds the query's rarest term. Only documents with that term
     are candidates; no query meets a document it shares nothing with, and none is cut off.
     """
+    if postings is not None:
+        return P.batch_matches(postings, queries, k, types)
     q = queries.select(
         "query_id",
         F.array_distinct(X.tokens(F.col("query_text"))).alias("raw"),
@@ -228,11 +244,12 @@ def batch_vector_hits(documents: DataFrame, embeddings: DataFrame, queries: Data
 
 def batch_search(documents: DataFrame, embeddings: DataFrame, queries: DataFrame, k: int = 8,
                  per_type_cap: int | None = PER_TYPE_CAP, types: Sequence[str] | None = None,
-                 vector_weight: float = VECTOR_WEIGHT, keyword_weight: float = KEYWORD_WEIGHT) -> DataFrame:
+                 vector_weight: float = VECTOR_WEIGHT, keyword_weight: float = KEYWORD_WEIGHT,
+                 postings: DataFrame | None = None) -> DataFrame:
     """Hybrid search for every row of ``queries`` (query_id, query_text, query_vector)."""
     leg = OVER_FETCH * k
     fused = _fuse(
-        batch_keyword_hits(documents, queries, leg, types), batch_vector_hits(documents, embeddings, queries, leg, types),
+        batch_keyword_hits(documents, queries, leg, types, postings), batch_vector_hits(documents, embeddings, queries, leg, types),
         ["query_id", "doc_id"], vector_weight, keyword_weight, weighted=True)
     if per_type_cap is not None:
         fused = (
@@ -245,10 +262,11 @@ def batch_search(documents: DataFrame, embeddings: DataFrame, queries: DataFrame
         "retrieval_weight")
 
 
-def batch_search_analytics(documents: DataFrame, embeddings: DataFrame, queries: DataFrame, k: int = 8) -> DataFrame:
-    return batch_search(documents, embeddings, queries, k, types=ANALYTICS_TYPES)
+def batch_search_analytics(documents: DataFrame, embeddings: DataFrame, queries: DataFrame, k: int = 8,
+                           postings: DataFrame | None = None) -> DataFrame:
+    return batch_search(documents, embeddings, queries, k, types=ANALYTICS_TYPES, postings=postings)
 
 
 def batch_search_reviews(documents: DataFrame, embeddings: DataFrame, queries: DataFrame, k: int = 5,
-                         per_type_cap: int | None = PER_TYPE_CAP) -> DataFrame:
-    return batch_search(documents, embeddings, queries, k, per_type_cap, types=("review",))
+                         per_type_cap: int | None = PER_TYPE_CAP, postings: DataFrame | None = None) -> DataFrame:
+    return batch_search(documents, embeddings, queries, k, per_type_cap, types=("review",), postings=postings)

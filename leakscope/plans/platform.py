@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leakscope.config import RuleParams
+from leakscope.operators import postings
 from leakscope.plans import marts, orders, scenarios
 from leakscope.session import shared_dir, tune
 from leakscope.sources.star import STAR_PARAMS, Star
@@ -23,10 +24,12 @@ PARTITIONED = {
     "leakage_reasons": ["leakage_type"],
     "documents": ["source_type"],
     "embeddings": ["source_type"],
+    "postings": [postings.PARTITION],
 }
+SORTED = {"postings": list(postings.ORDER)}
 # Published tables in an order in which each finds the ones it reads already written.
 PUBLISHED = ("payment_summary", "orders", "shipping", "scores", "customers", "sellers", "leakage_reasons", "dashboard",
-             "monthly_leakage", "seller_risk", "leakage_by_scenario", "documents", "embeddings")
+             "monthly_leakage", "seller_risk", "leakage_by_scenario", "documents", "embeddings", "postings")
 VIEWS = ("dashboard", "monthly_leakage", "seller_risk", "leakage_by_scenario")
 # The names that vetted SQL uses.
 VIEW_NAMES = {
@@ -62,8 +65,10 @@ class Platform:
         return self._published[name]
 
     def refresh(self, name: str) -> DataFrame:
-        """Compute a table anew and publish it as the next version."""
-        self._published[name] = self.store.replace(name, self.build(name), PARTITIONED.get(name))
+        """Compute a table anew and publish it as the next version. Word positions follow their documents."""
+        self._published[name] = self.store.replace(name, self.build(name), PARTITIONED.get(name), SORTED.get(name))
+        if name == "documents" and self.store.exists("postings"):
+            self.refresh("postings")
         return self._published[name]
 
     def refresh_views(self) -> dict[str, DataFrame]:
@@ -147,6 +152,9 @@ class Platform:
     def _build_embeddings(self) -> DataFrame:
         return self.star.embeddings(self.published("documents"))
 
+    def _build_postings(self) -> DataFrame:
+        return postings.build(self.published("documents"))
+
 
 _platforms: dict[tuple[str, str, str | None], Platform] = {}
 

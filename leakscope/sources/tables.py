@@ -91,16 +91,21 @@ class TableStore:
             version = self._versions(name, complete_only=True)[-1]
         return self.spark.read.parquet(self.path(name, version))
 
-    def replace(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+    def replace(self, name: str, df: DataFrame, partition_by: list[str] | None = None,
+                sort_by: list[str] | None = None) -> DataFrame:
         """Write ``df`` as the next version and read it back.
 
         With ``partition_by`` rows are first rebalanced on those columns: small values are merged
-        into one file and a value that holds much of the data is split over several tasks.
+        into one file and a value that holds much of the data is split over several tasks. ``sort_by`` orders
+        the rows of each file.
         """
         taken = self._versions(name, complete_only=False)
         target = self.path(name, (taken[-1] if taken else 0) + 1)
         if partition_by:
-            df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(target)
+            placed = df.hint("rebalance", *partition_by)
+            if sort_by:
+                placed = placed.sortWithinPartitions(*partition_by, *sort_by)
+            placed.write.partitionBy(*partition_by).parquet(target)
         else:
             df.write.parquet(target)
         return self.spark.read.parquet(target)
