@@ -17,7 +17,7 @@ from leakscope.functions import columns as C
 from leakscope.functions import text as X
 from leakscope.functions.present import flat
 from leakscope.functions.vectors import cosine
-from leakscope.operators import guard, ivf, keyed, neighbours, postings, quality, ranking, search, set_join, vector_blocks
+from leakscope.operators import guard, ivf, keyed, neighbours, postings, profile, quality, ranking, search, set_join, vector_blocks
 from leakscope.operators.anomaly import fit_standard, fitted_scores, neighbour_table, standard_rows
 from leakscope.plans import analytics as N
 from leakscope.plans import cache as cache_jobs
@@ -589,6 +589,34 @@ def p13_table_profile(p: Platform) -> DataFrame:
     return quality.all_checks([quality.column_profile(p.star.raw(t), t) for t in SOURCE_TABLES])
 
 
+def _profiles(p: Platform) -> DataFrame:
+    """Stored sketches per file of all tables, files not profiled before added."""
+    kept = p.store.read("profiles") if p.store.exists("profiles") else None
+    new = [profile.unseen(p.spark, p.star.raw(t), kept, t) for t in SOURCE_TABLES]
+    new = [d for d in new if d is not None]
+    if new:
+        fresh = profile.union(new)
+        return p.store.replace("profiles", fresh if kept is None else kept.unionByName(fresh), ["table_name"])
+    return kept
+
+
+@query
+def p13_merged_profile(p: Platform) -> DataFrame:
+    """Distinct values, quartiles and frequent values of every column, merged from the sketches of the files."""
+    return profile.merged(_profiles(p)).select(
+        "table_name", "column_name", "n_rows", "nulls", "n_distinct", "quartiles",
+        F.to_json("top").alias("top"))
+
+
+@query
+def p13_profile_accuracy(p: Platform) -> DataFrame:
+    """Is the merged estimate of distinct values within 5 % of an exact count?"""
+    exact = profile.union([profile.distinct_counts(p.star.raw(t), t) for t in SOURCE_TABLES])
+    return profile.merged(_profiles(p)).join(exact, ["table_name", "column_name"]).select(
+        "table_name", "column_name", "n_rows", "nulls", "n",
+        (F.abs(F.col("n_distinct") - F.col("n")) <= F.ceil(0.05 * F.col("n"))).alias("near"))
+
+
 def _domains(p: Platform) -> DataFrame:
     return quality.all_checks([quality.column_domains(p.star.raw(t), t) for t in SOURCE_TABLES])
 

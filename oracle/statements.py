@@ -298,6 +298,20 @@ S["p13_table_profile"] = "\nUNION ALL ".join([
     _profile("labels", "doc_id quality toxic"),
     _profile("conversations", "conv_id turn role text"),
 ])
+_PLAIN_COLUMNS = {
+    "region": "r_regionkey r_name", "nation": "n_nationkey n_name n_regionkey",
+    "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment", "supplier": "s_suppkey s_name s_nationkey s_acctbal",
+    "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus "
+                "l_shipdate",
+    "events": "event_id ts user_id event_type value props", "documents": "doc_id text lang source n_chars",
+    "embeddings": "vec_id label", "pages": "page_id url html", "benchmark": "item_id text", "labels": "doc_id quality toxic",
+    "conversations": "conv_id turn role text",
+}
+S["p13_profile_accuracy"] = "\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS nulls, "
+    f"count(DISTINCT {c}) AS n, TRUE AS near FROM {t}" for t, columns in _PLAIN_COLUMNS.items() for c in columns.split())
 _TEXT_COLUMNS = {
     "region": "r_name", "nation": "n_name", "customer": "c_name c_mktsegment", "supplier": "s_name", "part": "p_name p_brand p_type",
     "orders": "o_orderstatus o_orderpriority", "lineitem": "l_returnflag l_linestatus", "events": "event_type props",
