@@ -21,7 +21,7 @@ from leakscope.operators import guard, ivf, keyed, neighbours, postings, profile
 from leakscope.operators.anomaly import fit_standard, fitted_scores, neighbour_table, standard_rows
 from leakscope.plans import analytics as N
 from leakscope.plans import cache as cache_jobs
-from leakscope.plans import corpus, embedding, orders, scenarios
+from leakscope.plans import corpus, embedding, orders, scenarios, sql_functions
 from leakscope.plans.platform import VIEWS, Platform, platform
 from leakscope.sources import tables
 from leakscope.sources.schemas import SCORES_CSV_COLUMNS
@@ -740,6 +740,15 @@ def p18_sql_vetting(p: Platform) -> DataFrame:
     return guard.validate_sql(p.star.statements()).select("statement_id", "guard_type", "pattern", "message")
 
 
+@query
+def u1_validate_in_sql(p: Platform) -> DataFrame:
+    """The vetting called from SQL text over all statements."""
+    sql_functions.register(p.spark)
+    p.star.statements().createOrReplaceTempView("asked_statements")
+    return p.spark.sql("SELECT statement_id, inline(found) FROM "
+                       "(SELECT statement_id, sql_findings(sql_text) AS found FROM asked_statements)")
+
+
 @query
 def p19_scores(p: Platform) -> DataFrame:
     """Scores, tier and relative rank, built from the rule inputs."""

@@ -359,6 +359,7 @@ SELECT query_hash, CASE WHEN n > 280 THEN 2 ELSE 1 END AS hit_count,
   CASE WHEN n > 200 THEN '2024-12-31 06:00:00' ELSE '2025-01-01 00:00:00' END AS created_at FROM k"""
 S["p18_sql_vetting"] = """
 SELECT statement_id, guard_type, pattern, message FROM vetted"""
+S["u1_validate_in_sql"] = S["p18_sql_vetting"]
 S["p19_scores"] = """
 SELECT order_id, if_score::DOUBLE AS if_score, lof_score::DOUBLE AS lof_score, ensemble_score::DOUBLE AS ensemble_score,
   risk_tier, anomaly_flag, anomaly_rank FROM base_scores"""
