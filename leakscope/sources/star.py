@@ -22,6 +22,7 @@ STAR_PARAMS = replace(
     segment_mid="1000000", segment_high="2000000", not_received_pattern=r"(?i)\bwas\b.*\bnot\b",
 )
 
+# Carrier names.
 CARRIERS = {"1-URGENT": "Aramex EG", "2-HIGH": "Bosta", "3-MEDIUM": "Mylerz", "4-NOT SPECIFIED": "Egypt Post",
             "5-LOW": "Voo"}
 

@@ -387,6 +387,7 @@ SELECT e.vec_id AS doc_id, round(list_cosine_similarity(e.embedding::DOUBLE[], q
 FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 7) q
 """
 
+# Labels, priorities and weights of these documents.
 CTES["revdocs"] = """
 SELECT 'review' AS source_type, r.order_id::VARCHAR AS source_id, 'Customer Review: ' || r.order_id AS title,
        'Order ID: ' || r.order_id || chr(10) || 'Rating: ' || r.rating_group || chr(10) || 'Sentiment: ' || r.sentiment
@@ -405,6 +406,7 @@ WHERE r.review_comment IS NOT NULL AND length(trim(r.review_comment)) > 10 AND N
   AND NOT EXISTS (SELECT 1 FROM docs d WHERE d.source_type = 'review' AND d.source_id = r.order_id::VARCHAR)
 """
 
+# Labels, priorities and weights of these documents.
 CTES["leakdocs"] = """
 SELECT 'leakage_reason' AS source_type, m.order_id::VARCHAR AS source_id, 'Leakage Report: ' || m.order_id AS title,
        'Order ID: ' || m.order_id || chr(10) || 'Risk Tier: ' || m.risk_tier || chr(10) || 'Anomaly Score: '
