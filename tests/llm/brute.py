@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import xxhash
 from tokenizers import Tokenizer
@@ -149,3 +150,36 @@ def lpt(sizes, shards):
         load, k = heap[0]
         heapq.heapreplace(heap, (load + s, k))
     return sorted(load for load, _ in heap)
+
+
+def mcd_distances(x, floors, share=0.75, near=12.83, starts=40, seed=0):
+    """Squared distances from the reweighted least-determinant estimate: exact concentration from random starts."""
+    rng, h, add = np.random.default_rng(seed), share * len(x), np.diag(np.square(floors))
+
+    def distance(m, c):
+        return np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
+
+    def moments(weight):
+        m = weight @ x / weight.sum()
+        return m, ((x - m) * weight[:, None]).T @ (x - m) / weight.sum() + add
+
+    best = None
+    for _ in range(starts):
+        weight, last = np.zeros(len(x)), None
+        weight[rng.choice(len(x), 6, replace=False)] = 1
+        for _ in range(200):
+            m, c = moments(weight)
+            logdet = np.linalg.slogdet(c)[1]
+            if last is not None and abs(last - logdet) < 1e-9:
+                break
+            last, weight = logdet, np.zeros(len(x))
+            order = np.argsort(distance(m, c), kind="stable")
+            weight[order[:int(h)]] = 1
+            if int(h) < h:
+                weight[order[int(h)]] = h - int(h)
+        if best is None or logdet < best[0]:
+            best = logdet, m, c
+    d2 = distance(*best[1:])
+    close = (d2 <= near * max(np.median(d2) / 4.351, 1)).astype(float)
+    d2 = distance(*moments(close))
+    return d2 / max(np.median(d2) / 4.351, 1), best[0]
