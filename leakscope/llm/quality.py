@@ -26,7 +26,7 @@ FEATURES = ("log_words", "word_length", "symbol_root", "dup_line_root", "repeat_
 @dataclass(frozen=True)
 class McdParams:
     """``share`` of a group that the estimate rests on; all starts take ``trial_steps``, the best ``finalists`` of each
-    group go on until no log determinant moves by ``tolerance`` (``most_steps`` at most); groups below ``least_rows``
+    group go on until no log determinant falls by ``tolerance`` (``most_steps`` at most); groups below ``least_rows``
     are pooled by language, then overall; ``floors`` are standard deviations added to those of each feature, so that
     one that is constant in a group still has a scale: with 0.1, a third of the lines or words of a long text is beyond
     ``cut`` on its own. The rows within ``near`` (97.5 % of five degrees of freedom) give the reweighted estimate; rows
@@ -37,7 +37,7 @@ class McdParams:
     trial_steps: int = 2
     finalists: int = 2
     most_steps: int = 20
-    tolerance: float = 1e-3
+    tolerance: float = 1e-2
     least_rows: int = 100
     floors: tuple[float, ...] = (1.0, 0.5, 0.05, 0.1, 0.1)
     near: float = 12.83
@@ -280,9 +280,9 @@ def least_determinants(fitted: DataFrame, params: McdParams | None = None) -> Da
     estimate = stored(_best(estimate, p.finalists), "quality_estimate")
     for _ in range(p.most_steps):
         last, estimate = estimate, step(estimate)
-        moved = last.select("grp", "start", F.col("logdet").alias("was")).join(estimate, ["grp", "start"]).agg(
-            F.max(F.abs(F.col("logdet") - F.col("was")))).first()[0]
-        if moved is None or moved < p.tolerance:
+        fell = last.select("grp", "start", F.col("logdet").alias("was")).join(estimate, ["grp", "start"]).agg(
+            F.max(F.col("was") - F.col("logdet"))).first()[0]
+        if fell is None or fell < p.tolerance:
             break
     return stored(_best(estimate, 1), "quality_estimate")
 
