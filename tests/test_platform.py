@@ -106,3 +106,18 @@ def test_published_tables_have_names_in_sql(spark, plat):
     plat.register_views()
     assert spark.sql("SELECT count(*) FROM mv_leakage_dashboard").first()[0] == plat.published("dashboard").count()
     assert spark.sql("SELECT count(*) FROM order_leakage_reasons r JOIN orders o USING (order_id)").first()[0] > 0
+
+
+def test_derived_columns_are_not_shuffled(spark, tmp_path):
+    """Columns made of others are made where rows are written; the table and the session's settings stay as they were."""
+    from pyspark.sql import functions as F
+
+    from leakscope.sources.tables import DERIVED_SIZE, TableStore
+
+    store, before = TableStore(spark, str(tmp_path)), spark.conf.get(DERIVED_SIZE[0])
+    df = spark.range(300).select("id", (F.col("id") % 3).alias("kind"), F.lit("some words").alias("text"))
+    words = F.split("text", " ")
+    plain = store.replace("plain", df.withColumn("words", words), ["kind"])
+    derived = store.replace("derived", df, ["kind"], derived={"words": words})
+    assert derived.columns == plain.columns and derived.exceptAll(plain).isEmpty() and derived.count() == 300
+    assert spark.conf.get(DERIVED_SIZE[0]) == before
