@@ -77,3 +77,28 @@ def test_positions_follow_refreshed_documents(spark, plat):
     own.refresh("documents")
     assert own.store._versions("postings", True) == [1, 2]
     assert own.published("postings").count() == before.count()
+
+
+def test_words_are_told_apart_without_a_shuffle(spark, corpus):
+    """Neither lexeme lists nor single words are shuffled on the way to the table, and none is sorted out of an aggregate."""
+    docs, _ = corpus
+    plan = postings.build(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan
+
+
+def test_positions_of_every_word(spark):
+    """Against a plain count, with words that come often, null words, empty lists and rows with an id that repeats."""
+    lists = [["b", "a", "b", "c"], [], None, ["x", None, "x", None], ["w%d" % (i % 90) for i in range(700)], ["b", "b"], ["b", "z"], ["n"], ["n", "m"],
+             ["f", *["g"] * 40_000, "f"]]
+    ids = [1, 2, 3, 4, 5, 1, 1, None, None, 6]
+    rows = [(d, "review", True, i == 6, words) for i, (d, words) in enumerate(zip(ids, lists, strict=True))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source_type string, is_active boolean, low boolean, content_tsv array<string>").select(
+        "doc_id", "source_type", "is_active", F.when(F.col("low"), 1).otherwise(2).cast("smallint").alias("priority"),
+        F.lit("1.50").cast("decimal(4,2)").alias("retrieval_weight"), "content_tsv")
+    want = {}
+    for d, _, _, low, words in rows:
+        for at, word in enumerate(words or []):
+            want.setdefault((d, 1 if low else 2, word), []).append(at)
+    got = postings.build(docs).select("*", postings._bucket(F.col("term")).alias("own")).collect()
+    assert {(r.doc_id, r.priority, r.term): r.positions for r in got} == {k: sorted(v) for k, v in want.items()}
+    assert len(got) == len(want) and all(r.bucket == r.own for r in got)
