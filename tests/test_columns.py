@@ -99,3 +99,11 @@ def test_latest_review_breaks_ties_by_id(spark):
          ("o", "c", 3.0, "positive", "tie-c", dt.datetime(2024, 1, 2))],
         "order_id string, review_id string, rating double, sentiment string, review_comment string, review_date timestamp")
     assert [r.review_comment for r in orders.latest_review(rows).collect()] == ["tie-c"]
+
+
+def test_dashboard_meets_customers_before_it_is_wide(plat):
+    """The last shuffle before the dashboard is laid out is by order; customers are joined to the orders alone."""
+    plan = plat.build("dashboard")._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join " in line]
+    by_order, by_customer = ([i for i, j in enumerate(joins) if c in j] for c in ("order_id", "customer_id"))
+    assert len(by_order) == 4 and len(by_customer) == 1 and by_customer[0] > by_order[-1]
