@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from leakscope.plans import orders
+from leakscope.plans import corpus, orders
 from leakscope.sources import star as S
 
 
@@ -37,3 +37,20 @@ def test_first_payments_are_sorted_once_after_they_are_placed(star, monkeypatch,
     assert sorted(map(str, placed.collect())) == sorted(map(str, plain.collect()))
     if lines == 40:
         assert "hashpartitioning(l_orderkey" in text and f", {-(-340 // 40)})" in text.replace(", REPARTITION_BY_NUM", ")")
+
+
+def test_texts_of_top_reviews_are_met_by_key(spark):
+    rows = [("r1", "a", "a long enough comment", "negative"), ("r1", "a", "short", "negative"), ("r2", "b", "another long comment", "neutral"),
+            ("r2", "b", "the same key again, long", "neutral"), ("r3", None, "nobody ordered this one", "negative"), (None, "a", "no number on it", "negative")]
+    reviews = spark.createDataFrame([(r, o, t, s, dt.datetime(2024, 1, 1), False, s) for r, o, t, s in rows],
+                                    "review_id string, order_id string, review_comment string, sentiment string, review_date timestamp, "
+                                    "is_emoji_only boolean, rating_group string")
+    placed = spark.createDataFrame([("a", "delivered"), ("b", "delivered"), ("b", "delivered")], "order_id string, order_status string")
+    scores = spark.createDataFrame([("a", 1, "High"), ("b", 0, "Low")], "order_id string, anomaly_flag int, risk_tier string")
+    reasons = spark.createDataFrame([("a", "no_invoice_on_completion")], "order_id string, leakage_type string")
+    known = spark.createDataFrame([], "source_type string, source_id string")
+    got = corpus.review_documents(reviews, placed, scores, reasons, known, 200)
+    assert plan(got).count("LeftSemi") == 4 and "TakeOrdered" not in plan(got)
+    assert sorted(r.content.rsplit("Review: ", 1)[1] for r in got.collect()) == [
+        "a long enough comment", "another long comment", "another long comment", "the same key again, long", "the same key again, long"]
+    assert {r.source_id for r in corpus.review_documents(reviews, placed, scores, reasons, known, 1).collect()} <= {"a"}
