@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from leakscope.plans import corpus, orders
+from leakscope.plans import corpus, marts, orders
 from leakscope.sources import star as S
 
 
@@ -39,6 +39,22 @@ def test_first_payments_are_sorted_once_after_they_are_placed(star, monkeypatch,
         assert "hashpartitioning(l_orderkey" in text and f", {-(-340 // 40)})" in text.replace(", REPARTITION_BY_NUM", ")")
 
 
+def test_pairs_of_order_and_seller_travel_once(spark, star):
+    sellers = spark.createDataFrame([(i, f"s{i}") for i in range(3)], "seller_id long, seller_name string")
+    for c in marts.SELLER_RISK_COLUMNS:
+        if c not in ("seller_id", "seller_name", "total_orders", "leakage_orders", "total_revenue", "avg_anomaly_score", "leakage_rate_pct"):
+            sellers = sellers.selectExpr("*", f"1 AS {c}")
+    scores = spark.createDataFrame([(i, i % 2, None) for i in range(6)], "order_id long, anomaly_flag int, ensemble_score decimal(8,6)")
+    items = star.order_items().select("order_id", "seller_id", "price_after_discount")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        placed, plain = marts.seller_risk(sellers, star.by_order(items), scores), marts.seller_risk(sellers, items, scores)
+        assert plan(placed).count("Exchange") == plan(plain).count("Exchange") - 1
+        assert sorted(map(str, placed.collect())) == sorted(map(str, plain.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_texts_of_top_reviews_are_met_by_key(spark):
     rows = [("r1", "a", "a long enough comment", "negative"), ("r1", "a", "short", "negative"), ("r2", "b", "another long comment", "neutral"),
             ("r2", "b", "the same key again, long", "neutral"), ("r3", None, "nobody ordered this one", "negative"), (None, "a", "no number on it", "negative")]
